@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from facetry.llm import bpe, packing
-from facetry.llm.common import table
+from facetry.llm import bpe, exact_topk, line_dedup, packing, secret_scan, simhash
+from facetry.llm.common import table, written
 
 
 def vocabulary() -> str:
@@ -22,5 +23,21 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), keep_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing)}
-SQL: dict[str, str] = {}
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(written(simhash.with_edited(table(spark, sf_dir, "documents")), "prints"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents")).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_hexlike", "n_base64")
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op5_simhash, op6_secrets, op7_line_dedup, op9_topk)}
+SQL: dict[str, str] = {"op7_line_dedup": line_dedup.SQL, "op9_topk": exact_topk.SQL}
