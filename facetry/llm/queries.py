@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetry.llm import bpe, exact_topk, line_dedup, packing, secret_scan, simhash
+from facetry.llm import bpe, exact_topk, line_dedup, near_dup, packing, secret_scan, simhash
 from facetry.llm.common import table, written
 
 
@@ -35,9 +35,14 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op5_simhash, op6_secrets, op7_line_dedup, op9_topk)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op5_simhash, op6_secrets, op7_line_dedup, op8_near_dup, op9_topk)}
 SQL: dict[str, str] = {"op7_line_dedup": line_dedup.SQL, "op9_topk": exact_topk.SQL}
