@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetry.llm import bpe, exact_topk, line_dedup, near_dup, packing, secret_scan, simhash
+from facetry.llm import bpe, exact_topk, line_dedup, near_dup, packing, pii, quality, secret_scan, simhash
 from facetry.llm.common import table, written
 
 
@@ -23,6 +23,15 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), keep_ids=False)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.draw(docs, table(spark, sf_dir, "labels")).select("doc_id", "log_ratio", "gumbel_key", "keep")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(written(simhash.with_edited(table(spark, sf_dir, "documents")), "prints"))
 
@@ -44,5 +53,5 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op5_simhash, op6_secrets, op7_line_dedup, op8_near_dup, op9_topk)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_quality, op4_pii, op5_simhash, op6_secrets, op7_line_dedup, op8_near_dup, op9_topk)}
 SQL: dict[str, str] = {"op7_line_dedup": line_dedup.SQL, "op9_topk": exact_topk.SQL}
