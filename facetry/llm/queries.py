@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetry.llm import bpe, exact_topk, line_dedup, near_dup, packing, pii, quality, secret_scan, simhash
+from facetry.llm import bpe, exact_topk, html_extract, line_dedup, near_dup, packing, pii, quality, secret_scan, simhash
 from facetry.llm.common import table, written
 
 
@@ -53,5 +53,9 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_quality, op4_pii, op5_simhash, op6_secrets, op7_line_dedup, op8_near_dup, op9_topk)}
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_quality, op4_pii, op5_simhash, op6_secrets, op7_line_dedup, op8_near_dup, op9_topk, op10_html)}
 SQL: dict[str, str] = {"op7_line_dedup": line_dedup.SQL, "op9_topk": exact_topk.SQL}
