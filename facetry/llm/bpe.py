@@ -34,6 +34,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from facetry.llm.common import written
+
 #: Entries of the per-worker memo of encoded chunks before it starts anew; bounds a worker's memory, not the result.
 MEMO = 700_000
 #: White space as the vocabulary's pattern means it (Unicode White_Space); str.split() takes four more.
@@ -428,7 +430,7 @@ def encoder(blob: bytes) -> Encoder:
 
 
 def frequent_words(docs: DataFrame, model: dict, lexicon_words: int, text_col: str = "text") -> list[bytes]:
-    """The most frequent words over all documents, counted in each task first; `lexicon_words` come to the driver."""
+    """The most frequent words over all documents, `lexicon_words` of them at most; words are counted in each task first."""
     pattern, special = model["pattern"], list(model["special"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -451,9 +453,15 @@ def frequent_words(docs: DataFrame, model: dict, lexicon_words: int, text_col: s
                         yield from out()
         yield from out()
 
-    counted = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "word binary, n long")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(lexicon_words)
-    return [bytes(r.word) for r in top.select("word").collect()]
+    counted = written(docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    # a histogram of counts (some hundred cells) gives the least count; only words of the lexicon reach the driver
+    cells = sorted(((r.c, r.n, r.least) for r in counted.groupBy(F.floor(F.log2("n") * 16).alias("c")).agg(F.count(F.lit(1)).alias("n"), F.min("n").alias("least")).collect()), reverse=True)
+    least, held = None, 0
+    for _, n, low in cells:
+        if held + n > lexicon_words:
+            break
+        least, held = low, held + n
+    return [] if least is None else [bytes(r.word) for r in counted.where(F.col("n") >= least).select("word").collect()]
 
 
 def lexicon_blob(docs: DataFrame, vocabulary: str, lexicon_words: int = 65_536, text_col: str = "text") -> bytes:
