@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import product
 from math import radians, sin
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,21 +16,18 @@ def _cells(names: tuple[str, ...], size: float) -> list[Column]:
     return [F.floor(F.col(a) / size).cast("long") for a in names]
 
 
-def _around(cells: list[Column], reach: int = 1) -> Column:
-    """All cells within `reach` of a cell, as an array of structs c0, c1, ..."""
-    axes = [F.transform(F.array(*[F.lit(d) for d in range(-reach, reach + 1)]), lambda d, c=c: c + d) for c in cells]
-    out = F.transform(axes[0], lambda a: F.struct(a.cast("long").alias("c0")))
-    for i, axis in enumerate(axes[1:], 1):
-        out = F.flatten(F.transform(out, lambda s, i=i, axis=axis: F.transform(axis, lambda a: F.struct(*[s[f"c{j}"].alias(f"c{j}") for j in range(i)], a.cast("long").alias(f"c{i}")))))
-    return out
+def _offsets(dims: int, reach: int = 1) -> Column:
+    """A constant array of the steps to all cells within `reach`: structs d0, d1, ..."""
+    steps = product(range(-reach, reach + 1), repeat=dims)
+    return F.array(*[F.struct(*[F.lit(d).cast("long").alias(f"d{i}") for i, d in enumerate(step)]) for step in steps])
 
 
 def squared(names: tuple[str, ...], a: str, b: str) -> Column:
     return reduce(lambda s, t: s + t, [(F.col(n + a) - F.col(n + b)) * (F.col(n + a) - F.col(n + b)) for n in names])
 
 
-def radius_join(left: DataFrame, right: DataFrame, radius: float, *, on: tuple[str, ...] = ("x", "y", "z"), suffixes: tuple[str, str] = ("_a", "_b")) -> DataFrame:
-    """Pairs at most `radius` apart, with d2. One side goes to the cells around it, the other stays in its own.
+def radius_join(left: DataFrame, right: DataFrame, radius: float, *, on: tuple[str, ...] = ("x", "y", "z"), suffixes: tuple[str, str] = ("_a", "_b"), by: str | None = None) -> DataFrame:
+    """Pairs at most `radius` apart, with d2; with `by`, only rows that are equal in that column. One side goes to the cells around it, the other stays in its own.
 
     Columns get the suffixes. Rows without finite coordinates meet nobody. Dense cells are left to the skew handling of
     the join; a cell is as wide as the radius, so it holds little more than true neighbours.
@@ -38,7 +36,10 @@ def radius_join(left: DataFrame, right: DataFrame, radius: float, *, on: tuple[s
     na, nb = (tuple(n + s for n in on) for s in suffixes)
     keys = [f"_c{i}" for i in range(len(on))]
     a = a.withColumns(dict(zip(keys, _cells(na, radius))))
-    b = b.withColumn("_g", F.explode(_around(_cells(nb, radius)))).withColumns({k: F.col(f"_g.c{i}") for i, k in enumerate(keys)}).drop("_g")
+    b = b.withColumn("_g", F.explode(_offsets(len(on)))).withColumns({k: c + F.col(f"_g.d{i}") for i, (k, c) in enumerate(zip(keys, _cells(nb, radius)))}).drop("_g")
+    if by:
+        keys.append("_by")
+        a, b = a.withColumn("_by", F.col(by + suffixes[0])), b.withColumn("_by", F.col(by + suffixes[1]))
     joined = a.join(b, keys).withColumn("d2", squared(on, *suffixes))
     return joined.where(F.col("d2") <= radius * radius).drop(*keys)
 

@@ -151,11 +151,12 @@ def origin_of(path: str) -> tuple[tuple[float, float, float], str | None]:
 
 def projection_roi(value: dict[str, Any]) -> dict[str, Any]:
     """A checked view polygon: origin of 3 finite numbers, at least 3 corners, a simple ring with an area, buffer >= 0."""
-    origin = [float(v) for v in value["origin"]]
+    view = value.get("projection", value)
+    origin = [float(v) for v in view.get("origin_xyz", view.get("origin", ()))]
     ring = [tuple(map(float, p)) for p in value["polygon_uv"]]
     ring = ring[:-1] if len(ring) > 1 and ring[0] == ring[-1] else ring
-    buffer = float(value.get("buffer", 0.0))
-    angles = float(value.get("azimuth_deg", 0.0)), float(value.get("elevation_deg", 0.0))
+    buffer = float(value.get("boundary_buffer_m", value.get("buffer", 0.0)))
+    angles = float(view.get("azimuth_deg", 0.0)), float(view.get("elevation_deg", 0.0))
     if len(origin) != 3 or len(ring) < 3 or any(len(p) != 2 for p in ring) or not all(map(math.isfinite, [*origin, buffer, *angles, *(c for p in ring for c in p)])) or buffer < 0:
         raise ValueError("the view polygon needs an origin of 3 numbers, at least 3 corners and a buffer of at least 0")
     turn = lambda o, a, b: (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
