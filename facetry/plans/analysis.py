@@ -199,13 +199,15 @@ def _finite_spacings(planes: DataFrame, gaps: DataFrame, members: DataFrame, cfg
     return pairs.mapInPandas(body, "set_id string, plane_id_a string, plane_id_b string, spacing_m double, method string, sample_count long")
 
 
-def analyse_tiles(pts: DataFrame, config: Mapping[str, Any] | None = None, *, tile_size: float | None = None, overlap: float | None = None) -> tuple[DataFrame, tiling.Grid]:
-    """Plane rows of all tiles: each tile is worked on with its margin, and only points of its core count for a plane."""
+def analyse_tiles(pts: DataFrame, config: Mapping[str, Any] | None = None, *, tile_size: float | None = None, overlap: float | None = None, only: DataFrame | None = None) -> tuple[DataFrame, tiling.Grid]:
+    """Plane rows of all tiles (or of those in `only`): each tile is worked on with its margin, and only points of its core count for a plane."""
     cfg = config or load()
     _ensure_checkpoint_dir(pts.sparkSession)
     g = tiling.plan_for(pts, tile_size or cfg["tiling"]["tile_size"], cfg["tiling"]["overlap"] if overlap is None else overlap)
     pre = cfg["preprocess"]
     spread = tiling.halo(pts.where(P.finite()).select("x", "y", "z"), g)
+    if only is not None:
+        spread = spread.join(only.select("tile_id"), "tile_id", "left_semi")
     if pre["voxel_size"] > 0:
         v = pre["voxel_size"]
         spread = spread.groupBy("tile_id", "ix", "iy", *[F.floor(F.col(c) / v).alias("k" + c) for c in "xyz"]).agg(*[F.avg(c).alias(c) for c in "xyz"])
@@ -238,7 +240,10 @@ def aggregate_global(rows: DataFrame, config: Mapping[str, Any] | None = None, *
     groups = grouped.merge_groups(ok, connected_components(ok, "row_id_a", "row_id_b"), "row_id", ["tile_id_a", "tile_id_b"])
     grouped_rows = rows.join(groups, "row_id", "left").withColumn("_group", F.coalesce("merged_into", "row_id"))
     ided = global_ids(grouped_rows, "_group", "row_id").drop("_group", "merged_into").checkpoint()
-    rolled = sets.roll_up(ided, config=cfg).checkpoint()
+    rolled = sets.roll_up(ided, config=cfg)
+    if "footprint" in ided.columns:
+        rolled = _union_shapes(rolled, ided, cfg)
+    rolled = rolled.checkpoint()
     gated = sets.global_gate(rolled, cfg).checkpoint()
     chosen = gated.where("status = 'candidate_joint_plane'")
     named = orientation_sets(chosen.withColumn("row_id", F.col("global_plane_id")).drop("set_id"), cfg, weight="core_red_points").withColumnRenamed("set_id", "global_set_id").checkpoint()
@@ -247,6 +252,30 @@ def aggregate_global(rows: DataFrame, config: Mapping[str, Any] | None = None, *
     return {"instances": ided, "planes": named.join(near, "global_plane_id", "left"), "gated": gated, "joint_sets": joint, "spacings": gaps, "rejections": sets.rejection_histogram(pairs)}
 
 
+def _union_shapes(rolled: DataFrame, members: DataFrame, cfg: Mapping[str, Any]) -> DataFrame:
+    """Area, extents and completeness of the union of the members' footprints, and the score that follows from them."""
+    names = ["observed_area_m2", "major_extent_m", "minor_extent_m", "boundary_completeness"]
+
+    def body(k: tuple, g: pd.DataFrame) -> pd.DataFrame:
+        n, c = g[["gnx", "gny", "gnz"]].to_numpy(float)[0], g[["gx", "gy", "gz"]].to_numpy(float)[0]
+        rings = [shapes.to_uv(np.array([list(q) for q in r], float), c, n) for v in g["footprint"] if v is not None for r in v if len(r) >= 3]
+        if not rings:
+            return pd.DataFrame(columns=["global_plane_id", *names])
+        total, h = shapes.union_area(rings), shapes.hull(np.vstack(rings))
+        major, minor = shapes.smallest_rectangle(h)
+        whole = abs(shapes.area(h))
+        return pd.DataFrame([(k[0], total, major, minor, min(1.0, total / whole) if whole > 1e-12 else 0.0)], columns=["global_plane_id", *names])
+
+    of = rolled.select("global_plane_id", *[F.col(c).alias("g" + c) for c in ("nx", "ny", "nz")], *[F.col(f"center_{c}").alias("g" + c) for c in "xyz"])
+    got = members.select("global_plane_id", "footprint").join(of, "global_plane_id").groupBy("global_plane_id").applyInPandas(body, "global_plane_id string, " + ", ".join(f"{c} double" for c in names))
+    joined = rolled.join(got.withColumnsRenamed({c: "_u_" + c for c in names}), "global_plane_id", "left")
+    out = joined.withColumns({c: F.coalesce("_u_" + c, c) for c in names}).drop(*["_u_" + c for c in names])
+    t, p = cfg["target"], cfg["plane"]
+    score = confidence(*[F.col(c) for c in ("point_count", "observed_area_m2", "planarity", "inlier_ratio", "rms_m", "normal_dispersion_deg", "boundary_completeness")], min_points=t["min_points"], min_area=t["min_area_m2"], max_rms=p["max_rms"], max_dispersion_deg=p["max_dispersion_deg"])
+    out = out.withColumn("confidence", score)
+    return out.withColumns({"quality_score": F.col("confidence"), "quality_grade": grade(F.col("confidence"))})
+
+
 def _footprint_column():
     @F.pandas_udf("double")
     def gap(a: pd.Series, b: pd.Series, ca: pd.DataFrame, cb: pd.DataFrame, n: pd.DataFrame) -> pd.Series:
