@@ -89,20 +89,23 @@ def oblique(p: Vec, origin: tuple[float, float, float], azimuth_deg: float, elev
 
 
 def in_polygon(u: Column, v: Column, ring: list[tuple[float, float]], buffer: float = 0.0) -> Column:
-    """Inside a ring by crossings of a ray, after its box; with a buffer, also within that distance of an edge."""
+    """Strictly inside a ring by crossings of a ray, after its box; with a buffer, also within that distance of an edge."""
     us, vs = [p[0] for p in ring], [p[1] for p in ring]
     box = (u >= min(us) - buffer) & (u <= max(us) + buffer) & (v >= min(vs) - buffer) & (v <= max(vs) + buffer)
-    crossings, close = F.lit(0), F.lit(False)
+    crossings, close, edge = F.lit(0), F.lit(False), F.lit(False)
     for (au, av), (bu, bv) in zip(ring, ring[1:] + ring[:1]):
         if av != bv:
             crosses = ((v < av) != (v < bv)) & (u < (v - av) * ((bu - au) / (bv - av)) + au)
             crossings = crossings + F.when(crosses, 1).otherwise(0)
-        if buffer > 0:
+        if buffer == 0:
+            on = ((u - au) * (bv - av) - (v - av) * (bu - au) == 0) & (u >= min(au, bu)) & (u <= max(au, bu)) & (v >= min(av, bv)) & (v <= max(av, bv))
+            edge = edge | on
+        else:
             length2 = (bu - au) ** 2 + (bv - av) ** 2
             t = F.least(F.greatest(((u - au) * (bu - au) + (v - av) * (bv - av)) / (length2 or 1.0), F.lit(0.0)), F.lit(1.0))
             du, dv = u - (t * (bu - au) + au), v - (t * (bv - av) + av)
             close = close | (du * du + dv * dv < buffer * buffer)
-    return box & ((crossings % 2 == 1) | close)
+    return box & ((crossings % 2 == 1) | close) & ~edge
 
 
 def features_of(eigenvalues: tuple[Column, Column, Column]) -> dict[str, Column]:

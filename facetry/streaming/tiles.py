@@ -92,7 +92,7 @@ def invalid_tiles(folder: str) -> list[str]:
 
     bad = []
     for name in sorted(os.listdir(folder)):
-        if name.endswith((".las", ".laz")):
+        if name.endswith((".las", ".laz")) and os.path.isfile(os.path.join(folder, name)):
             path = os.path.join(folder, name)
             try:
                 ok = read_header(path).count > 0

@@ -4,6 +4,9 @@ import sys
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+# forked Python workers and threads of numerical libraries do not go together
+for _name in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS", "ARROW_NUM_THREADS"):
+    os.environ.setdefault(_name, "1")
 
 
 @pytest.fixture(scope="session")
