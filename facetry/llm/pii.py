@@ -121,7 +121,7 @@ def votes(text: str, span: tuple[int, int, int]) -> tuple[int, ...]:
     s = text[start:end]
     digits = "".join(c for c in s if "0" <= c <= "9")
     name = KINDS[kind]
-    check = {"email": 1, "phone": 1, "card": 1, "ip": 1, "spelled": 1 if "(at)" in s.lower() or "[at]" in s.lower() else 0, "national": 1 if digits[:1] not in "01" and digits[3:4] not in "01" else -1, "ssn": 1 if digits[:3] not in ("000", "666") and digits[0] != "9" and digits[3:5] != "00" and digits[5:] != "0000" else -1, "iban": 1 if name == "iban" and _iban_ok(s) else -1}[name]
+    check = {"email": 1, "phone": 1, "card": 1, "ip": 1, "spelled": 1 if "(at)" in s.lower() or "[at]" in s.lower() else 0, "national": 1 if digits[:1] not in "01" and digits[3:4] not in "01" else -1, "ssn": 1 if digits[:3] not in ("000", "666") and digits[:1] != "9" and digits[3:5] != "00" and digits[5:] != "0000" else -1, "iban": 1 if name == "iban" and _iban_ok(s) else -1}[name]
     gazetteer = 0
     if name in ("email", "spelled"):
         gazetteer = 1 if re.split(r"[. \])}]+", s.lower())[-1] in MAIL_ENDINGS else -1
