@@ -279,7 +279,7 @@ def _trees(limit: int = 64):
     return get
 
 
-def induce(pages: DataFrame, *, share: float = 0.8, least_pages: int = 3, broadcast_bytes: int = 32 << 20) -> DataFrame:
+def induce(pages: DataFrame, *, share: float = 0.8, least_pages: int = 3, copy_share: float = 0.8, broadcast_bytes: int = 32 << 20) -> DataFrame:
     """One wrapper per host with at least two pages: host, reference (html) and the numbers of its template nodes."""
     refs = written(pages.where("host is not null and html is not null").groupBy("host").agg(F.min_by("html", "page_id").alias("reference"), F.min("page_id").alias("ref_id"), F.count(F.lit(1)).alias("n")).where("n > 1"), "references")
     both = _with(pages.where("html is not null").select("page_id", "host", "html"), refs.select("host", "reference", "ref_id"), broadcast_bytes, "inner").where("page_id <> ref_id").select("host", "html", "reference")
@@ -298,7 +298,7 @@ def induce(pages: DataFrame, *, share: float = 0.8, least_pages: int = 3, broadc
             for host, html, ref in zip(*(c.to_pylist() for c in b.columns)):
                 pairs = [(p.at, p.text() == q.text(), len(t)) for p, q in simple_tree_matching(tree(host, ref), parse(html)) if (t := p.text())]
                 total = sum(n for _, _, n in pairs)
-                if total and sum(n for _, same, n in pairs if same) <= 0.5 * total:
+                if total and sum(n for _, same, n in pairs if same) <= copy_share * total:
                     for at, same, _ in pairs:
                         c = seen[host, at]
                         c[0] += 1
