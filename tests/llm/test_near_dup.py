@@ -146,6 +146,19 @@ def test_near_copies_edges(spark):
     assert near_copies.keep_one(docs(spark, [])).count() == 0
 
 
+def test_large_groups_meet_in_blocks(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    rows = spark.createDataFrame([(1, 50, i) for i in range(50)] + [(2, 7, 100 + i) for i in range(7)], "key long, n long, first_id long")
+    got = near_copies.block_groups(rows, 10).groupBy("key").agg(F.collect_list("first_id").alias("ids")).collect()
+    assert max(len(set(r.ids)) for r in got) < 20
+    assert {(a, b) for r in got for a in r.ids for b in r.ids if a < b} == {(a, b) for x in (range(50), range(100, 107)) for a in x for b in x if a < b}
+    base = words(rng, 300, 5000)
+    d = docs(spark, [base] + [_near(rng, base, 0.004) for _ in range(80)] + [words(rng, 100, 5000) for _ in range(20)])
+    assert sorted(r.doc_id for r in near_copies.keep_one(d, group_rows=8).collect()) == sorted(r.doc_id for r in near_copies.keep_one(d).collect()) == [10, *range(91, 111)]
+
+
 def test_components_helper(spark):
     from facetry.operators.graph import connected_components
 
