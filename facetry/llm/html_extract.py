@@ -20,7 +20,9 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
+from operator import attrgetter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +45,9 @@ SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}
 
 
 class Node:
-    __slots__ = ("tag", "sig", "out", "kids", "at", "main")
+    """shape and full are equal for equal subtrees, without and with their text; size counts the nodes."""
+
+    __slots__ = ("tag", "sig", "out", "kids", "at", "main", "shape", "full", "size")
 
     def __init__(self, tag: str, sig: str, out: bool, main: bool):
         self.tag, self.sig, self.out, self.main, self.kids, self.at = tag, sig, out, main, [], -1
@@ -109,11 +113,17 @@ def parse(html: str) -> Node:
     if at < len(html):
         t = html[at:]
         stack[-1].kids.append(unescape(t) if "&" in t else t)
-    n, todo = 0, [root]
+    order, todo = [], [root]
     while todo:
         node = todo.pop()
-        node.at, n = n, n + 1
+        node.at = len(order)
+        order.append(node)
         todo += [k for k in reversed(node.kids) if type(k) is not str]
+    for node in reversed(order):
+        kids = [k for k in node.kids if type(k) is not str]
+        node.shape = hash((node.sig, *[k.shape for k in kids]))
+        node.full = hash((node.sig, node.text(), *[k.full for k in kids]))
+        node.size = 1 + sum([k.size for k in kids])
     return root
 
 
@@ -126,64 +136,114 @@ def _close(stack: list[Node], tags: set[str], scope) -> None:
             return
 
 
+_FEW, _MANY = 400, 4_000_000
+
+
+def _scores(w: np.ndarray, ix: np.ndarray, iy: np.ndarray, fx: np.ndarray, fy: np.ndarray, whole: bool) -> np.ndarray:
+    """Best scores of aligning the first i of x with the first j of y: all rows if `whole`, else the last."""
+    row = np.zeros(len(iy) + 1, np.int64)
+    rows = np.zeros((len(ix) + 1, len(iy) + 1), np.int64) if whole else None
+    for i, (k, f) in enumerate(zip(ix, fx)):
+        pair = w[k][iy]
+        pair = row[:-1] + np.where(pair > 0, pair + (fy == f), 0)
+        row = np.concatenate([[0], np.maximum.accumulate(np.maximum(row[1:], pair))])
+        if whole:
+            rows[i + 1] = row
+    return rows if whole else row
+
+
+def _aligned(w: np.ndarray, ix: np.ndarray, iy: np.ndarray, fx: np.ndarray, fy: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of the best alignment that keeps order; long lists are halved, so that memory stays in bounds."""
+    n, m = len(ix), len(iy)
+    if n > 1 and n * m > _MANY:
+        h = n // 2
+        ahead = _scores(w, ix[:h], iy, fx[:h], fy, False)
+        back = _scores(w, ix[h:][::-1], iy[::-1], fx[h:][::-1], fy[::-1], False)[::-1]
+        c = int(np.argmax(ahead + back))
+        return _aligned(w, ix[:h], iy[:c], fx[:h], fy[:c]) + [(i + h, j + c) for i, j in _aligned(w, ix[h:], iy[c:], fx[h:], fy[c:])]
+    t, out = _scores(w, ix, iy, fx, fy, True), []
+    while n and m:
+        if t[n, m] == t[n - 1, m]:
+            n -= 1
+        elif t[n, m] == t[n, m - 1]:
+            m -= 1
+        else:
+            n, m = n - 1, m - 1
+            out.append((n, m))
+    return out[::-1]
+
+
+def _trimmed(x: list[Node], y: list[Node], key: str) -> tuple[int, int]:
+    """How many nodes at the start and at the end agree in `key`; to pair these is part of a best alignment."""
+    get, n = attrgetter(key), min(len(x), len(y))
+    a = b = 0
+    while a < n and get(x[a]) == get(y[a]):
+        a += 1
+    while b < n - a and get(x[-1 - b]) == get(y[-1 - b]):
+        b += 1
+    return a, b
+
+
 def simple_tree_matching(a: Node, b: Node) -> list[tuple[Node, Node]]:
     """Pairs of matched nodes: the matching that keeps order and levels and has the most pairs.
 
-    Lists of leaves with one signature match in order, which is the best there is for them.
+    Among the best alignments of two lists of children that with the most equal subtrees, text and all, is taken.
     """
     out: list[tuple[Node, Node]] = []
     memo: dict[tuple[int, int], int] = {}
-    kids: dict[int, list[Node]] = {}
 
     def below(n: Node) -> list[Node]:
-        if id(n) not in kids:
-            kids[id(n)] = [k for k in n.kids if type(k) is not str]
-        return kids[id(n)]
-
-    def plain(ns: list[Node]) -> bool:
-        return len({k.sig for k in ns}) == 1 and not any(below(k) for k in ns)
-
-    def table(x: list[Node], y: list[Node]) -> list[list[int]]:
-        t = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-        for i, p in enumerate(x):
-            row, above = t[i + 1], t[i]
-            for j, q in enumerate(y):
-                best = above[j + 1] if above[j + 1] >= row[j] else row[j]
-                if p.sig == q.sig and (w := above[j] + weight(p, q)) > best:
-                    best = w
-                row[j + 1] = best
-        return t
+        return [k for k in n.kids if type(k) is not str]
 
     def weight(p: Node, q: Node) -> int:
-        x, y = below(p), below(q)
-        if not x or not y:
-            return 1
-        if plain(x) and plain(y):
-            return 1 + (min(len(x), len(y)) if x[0].sig == y[0].sig else 0)
-        key = (p.at, q.at)
+        if p.shape == q.shape:
+            return p.size
+        if p.sig != q.sig:
+            return 0
+        key = (p.shape, q.shape)
         if key not in memo:
-            memo[key] = 1 + table(x, y)[-1][-1]
+            x, y = below(p), below(q)
+            i, j = _trimmed(x, y, "shape")
+            sure = sum(k.size for k in x[:i]) + sum(k.size for k in x[len(x) - j :])
+            x, y = x[i : len(x) - j], y[i : len(y) - j]
+            memo[key] = 1 + sure + (best(x, y) if x and y else 0)
         return memo[key]
 
+    def best(x: list[Node], y: list[Node]) -> int:
+        if len(x) * len(y) > _FEW:
+            w, ix, iy = weights(x, y)
+            return int(_scores(w, ix, iy, np.zeros(len(x), np.int64), np.ones(len(y), np.int64), False)[-1])
+        above = [0] * (len(y) + 1)
+        for p in x:
+            row = [0]
+            for j, q in enumerate(y):
+                row.append(max(above[j + 1], row[j], above[j] + weight(p, q)))
+            above = row
+        return above[-1]
+
+    def weights(x: list[Node], y: list[Node]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Weights of the kinds of subtrees in x and y, and the kind of each."""
+        kx, ky = {k.shape: k for k in x}, {k.shape: k for k in y}
+        w = np.array([[weight(p, q) for q in ky.values()] for p in kx.values()], np.int64)
+        at_x, at_y = {k: i for i, k in enumerate(kx)}, {k: i for i, k in enumerate(ky)}
+        return w, np.array([at_x[k.shape] for k in x]), np.array([at_y[k.shape] for k in y])
+
     todo = [(a, b)]
     while todo:
         p, q = todo.pop()
         out.append((p, q))
         x, y = below(p), below(q)
+        i, j = _trimmed(x, y, "full")
+        todo += list(zip(x[:i], y[:i])) + list(zip(x[len(x) - j :], y[len(y) - j :]))
+        x, y = x[i : len(x) - j], y[i : len(y) - j]
         if not x or not y:
             continue
-        if len(x) * len(y) > 250_000 or (len({k.sig for k in x}) == 1 and len({k.sig for k in y}) == 1):
-            todo += [(i, j) for i, j in zip(x, y) if i.sig == j.sig]
+        fx, fy = ([k.full for k in z] for z in (x, y))
+        if len({k.shape for k in x + y}) == 1 and not set(fx) & set(fy):  # any alignment in order is as good
+            todo += zip(x, y)
             continue
-        t, i, j = table(x, y), len(x), len(y)
-        while i and j:
-            if t[i][j] == t[i - 1][j]:
-                i -= 1
-            elif t[i][j] == t[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                todo.append((x[i], y[j]))
+        w, ix, iy = weights(x, y)
+        todo += [(x[i], y[j]) for i, j in _aligned(w * (min(len(x), len(y)) + 1), ix, iy, np.array(fx), np.array(fy))]
     return out
 
 

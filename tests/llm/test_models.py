@@ -153,6 +153,15 @@ def test_tree_matching():
     assert sorted(tags) == sorted(["#root", "body", "div", "p", "footer"])
 
 
+def test_tree_matching_of_uniform_lists():
+    page = lambda n, more: html_extract.parse("<body>" + more + "".join(f"<div><p>{more}{i}</p></div>" for i in range(n)) + "<div><b>foot</b></div></body>")
+    for n in (3, 600):
+        pairs = html_extract.simple_tree_matching(page(n, ""), page(n + 2, "<div><i>ad</i></div>"))
+        assert [q.text() for p, q in pairs if p.text() == "foot"] == ["foot"]
+    long = lambda n, more: html_extract.parse("<body>" + "".join(f"<p>{more}{i}</p>" for i in range(n)) + "<p>foot</p></body>")
+    assert [q.text() for p, q in html_extract.simple_tree_matching(long(2100, "a"), long(2300, "b")) if p.text() == "foot"] == ["foot"]
+
+
 def test_wrappers_without_marks(spark):
     page = lambda i: f'<html><body><div><a href="/a">Start</a> <a href="/b">News</a></div><div><p>Story number {i} tells {i * 7} things.</p><p>And then {i}.</p></div><div><p>Copyright by us, all rights reserved.</p></div></body></html>'
     rows = [(i, f"http://h.example/{i}", page(i)) for i in range(8)] + [(100, "http://h.example/0", page(0)), (101, None, page(3)), (102, "http://alone.example/x", page(4)), (103, "http://h.example/n", None)]
