@@ -3,9 +3,10 @@
 For each host one page (the smallest page_id) is the reference. All other pages of the host are aligned to it by simple
 tree matching, and for each text node of the reference it is counted how often a page has a counterpart and how often
 that has the same text. Pages that are (nearly) copies of the reference say nothing about the template and don't count.
-Nodes that are constant over the host become the template, varying slots are content. A page's own marks come first: in
-an explicit article the text stays, and menus, headers, footers, sidebars, notices, adverts, forms and comments go by tag,
-role or class; where a page has no article or main element, its content is what varies, without template and link lists.
+Nodes that are constant over the host become the template, varying slots are content. The text of template nodes goes on
+every page, in an explicit article too, unless that would take more than half of the article. Marks add to it: where there
+is an article or main element, content is looked for in it only, and menus, headers, footers, sidebars, notices, adverts,
+forms and comments go by tag, role or class; elsewhere the content is the whole page, without link lists.
 
 A host may hold any share of the pages: counts are summed per task before they meet, and the reference pages are
 broadcast only if they are small (`broadcast_bytes`), else joined.
@@ -270,7 +271,7 @@ def content_root(root: Node) -> tuple[Node, bool]:
 
 
 def blocks(node: Node, template: set[int] | frozenset[int] = frozenset(), marked: bool = True) -> list[str]:
-    """The text blocks below a node in page order. template: nodes (by number) whose own text goes, where nothing is marked."""
+    """The text blocks below a node in page order. template: nodes (by number) whose own text goes."""
     out: list[str] = []
     cur: list[str] = []
 
@@ -295,7 +296,7 @@ def blocks(node: Node, template: set[int] | frozenset[int] = frozenset(), marked
         if n.tag in BLOCKS:
             flush()
             todo.append(("out", n))
-        gone = not marked and n.at in template
+        gone = n.at in template
         todo += [("text", k) if type(k) is str else ("in", k) for k in reversed(n.kids) if type(k) is not str or not gone]
     flush()
     return out
@@ -319,10 +320,13 @@ def _links(node: Node) -> bool:
 def page_text(html: str | None, reference: Node | None = None, template: frozenset[int] = frozenset()) -> str:
     root = parse(html or "")
     node, marked = content_root(root)
-    gone: set[int] = set()
-    if not marked and reference is not None and template:
-        gone = {q.at for p, q in simple_tree_matching(reference, root) if p.at in template and p.text() == q.text()}
-    return "\n".join(blocks(node, gone, marked))
+    whole = blocks(node, frozenset(), marked)
+    if reference is None or not template:
+        return "\n".join(whole)
+    gone = {q.at for p, q in simple_tree_matching(reference, root) if p.at in template and p.text() == q.text()}
+    left = blocks(node, gone, marked)
+    # the marks check the template: what takes most of an article is no template of it
+    return "\n".join(whole if marked and 2 * sum(map(len, left)) < sum(map(len, whole)) else left)
 
 
 def _trees(limit: int = 64):

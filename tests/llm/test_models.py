@@ -175,6 +175,15 @@ def test_wrappers_without_marks(spark):
     assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_template_inside_articles(spark):
+    story = lambda i: "".join(f"<p>Part {j} of story {i} tells {i * 7 + j} things.</p>" for j in range(2 + i % 3))
+    page = lambda i: f'<html><body><nav>menu</nav><article><h1>Title {i}</h1><div class="line">Pass this on to friends</div>{story(i)}<p>Get our paper every day.</p></article><footer>f</footer></body></html>'
+    rows = [(i, f"http://h.example/{i}", page(i)) for i in range(8)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(8):
+        assert got[i] == "\n".join([f"Title {i}", *[f"Part {j} of story {i} tells {i * 7 + j} things." for j in range(2 + i % 3)]])
+
+
 def test_pages_of_table(spark):
     from html import unescape
 
