@@ -139,6 +139,23 @@ def test_near_copies(spark):
     assert set(range(150)) | set(range(300, 460)) <= left and not left & set(range(460, 490))
 
 
+def test_near_copies_are_exact(spark):
+    rng = random.Random(9)
+    base, below, above = [], [], []
+    for n in (24, 30, 60, 130, 200, 460, 520) * 15:
+        t = words(rng, n, 5000)
+        for texts, share in ((below, 0.72 + 0.07 * rng.random()), (above, 0.8)):
+            r = int((n - 4) * (1 - share) / (1 + share)) + (texts is below)
+            texts.append(" ".join(t.split()[: n - r]) + " " + words(rng, r, 5000))
+        base.append(t)
+    assert max(map(_jaccard, base, below)) < 0.8 <= min(map(_jaccard, base, above))
+    n = len(base)
+    for texts, want in ((below, range(10, 10 + 2 * n)), (above, range(10, 10 + n))):
+        for group_terms in (1_000_000, 300):
+            kept = near_copies.keep_one(docs(spark, base + texts), group_terms=group_terms)
+            assert sorted(r.doc_id for r in kept.collect()) == list(want)
+
+
 def test_near_copies_edges(spark):
     got = near_copies.keep_one(docs(spark, TEXTS + ["one", "one", None, "again", "again"], [*range(10, 10 + len(TEXTS)), 3, None, None, 7, 7]))
     ids = [r.doc_id for r in got.collect()]
