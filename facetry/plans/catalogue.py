@@ -14,7 +14,7 @@ from facetry.config import DEFAULTS
 from facetry.functions import geometry as G, scores
 from facetry.operators import grouped, order, points as P, sets, tiling
 from facetry.operators.graph import _ensure_checkpoint_dir
-from facetry.operators.joins import axial_join, k_smallest, radius_join
+from facetry.operators.joins import axial_join, k_smallest, knn, radius_join
 from facetry.plans.adapters import PLANES_SQL, POINTS_SQL, planes, points, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,6 +160,35 @@ def statistical_outliers(spark, sf_dir):
     return m.where(F.col("d") <= s.a + 1.5 * s.b).select("pid_a", _r(F.col("d")).alias("mean_distance"))
 
 
+# the same at any distance: the k nearest of the whole table, too many pairs for SQL
+
+
+def _rows(spark, sf_dir) -> DataFrame:
+    """The points under keys of their own: rows after the first of one pid (by x, y, z) get its number appended."""
+    p = points(spark, sf_dir).select("pid", "x", "y", "z")
+    nth = F.row_number().over(Window.partitionBy("pid").orderBy("x", "y", "z"))
+    return p.withColumn("_nth", nth).withColumn("pid", F.when(F.col("_nth") > 1, F.concat("pid", F.lit("#"), F.col("_nth"))).otherwise(F.col("pid"))).drop("_nth").checkpoint()
+
+
+@query()
+def knn_any_distance(spark, sf_dir):
+    _ensure_checkpoint_dir(spark)
+    return knn(_rows(spark, sf_dir), 4, "pid", start=0.45).select("pid_a", "pid_b", "rank")
+
+
+@query()
+def nn_spacing(spark, sf_dir):
+    _ensure_checkpoint_dir(spark)
+    d = P.nn_spacing(_rows(spark, sf_dir), key="pid", start=0.45)
+    return d.select("sample_count", *[_r(F.col(c)).alias(c) for c in ("p10_m", "median_m", "p90_m")])
+
+
+@query()
+def statistical_inliers(spark, sf_dir):
+    _ensure_checkpoint_dir(spark)
+    return P.statistical_inliers(_rows(spark, sf_dir), key="pid", start=0.45).select("pid", _r(F.col("mean_distance")).alias("mean_distance"))
+
+
 @query(P_WITH + _NEAR + """, core AS (SELECT pid_a AS pid FROM near GROUP BY 1 HAVING count(*) >= 5) SELECT count(*) AS cores, (SELECT count(DISTINCT pid_b) FROM near JOIN core ON pid_a = pid WHERE pid_b NOT IN (SELECT pid FROM core)) AS borders FROM core""")
 def dbscan_cores(spark, sf_dir):
     near = _near(spark, sf_dir)
