@@ -30,14 +30,20 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetry.llm.common import written
 
-#: Entries of the per-worker memo of encoded chunks before it starts anew; bounds a worker's memory, not the result.
-MEMO = 700_000
+#: Bounds of a worker's memory, not of the result: entries in each of the two generations of the memo, characters of the
+#: longest chunk that is kept there, chunks that are learnt at once, and bytes of words that are merged at once.
+MEMO, KEPT, AT_ONCE, _BLOCK = 180_000, 48, 60_000, 120_000
+#: Bytes of text that are cut and looked up at once.
+SLICE = 4 << 20
+#: Stands between chunks that are cut into words together; chunks that hold it are cut alone.
+_SEP, _SEP_ID = "\ue000", 0xFFFFFFFF
 #: White space as the vocabulary's pattern means it (Unicode White_Space); str.split() takes four more.
 _MORE_SPACE = re.compile("[\x1c-\x1f]")
 _SPACE = regex.compile(r"\p{White_Space}+")
@@ -130,27 +136,32 @@ class Merger:
     def __init__(self, pairs: IntMap, made: np.ndarray, inner: np.ndarray, last: np.ndarray, size: int):
         self.pairs, self.made, self.inner, self.last, self.size = pairs, made, inner, last, size
 
-    def words(self, words: list[bytes]) -> list[np.ndarray]:
-        out: list[np.ndarray | None] = [None] * len(words)
-        short = []
+    def words(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word as little-endian unsigned 32-bit integers; block by block, so that memory stays bounded."""
+        out = [b""] * len(words)
+        block: list[int] = []
+        held = 0
         for i, w in enumerate(words):
             if len(w) > _LONG:
-                out[i] = self.long(w)
-            else:
-                short.append(i)
-        if short:
-            for i, ids in zip(short, self._batch([words[i] for i in short])):
-                out[i] = ids
+                out[i] = self.long(w).astype("<u4").tobytes()
+            elif w:
+                block.append(i)
+                held += len(w)
+                if held > _BLOCK:
+                    self._batch(words, block, out)
+                    block, held = [], 0
+        if block:
+            self._batch(words, block, out)
         return out
 
-    def _batch(self, words: list[bytes]) -> list[np.ndarray]:
-        lens = np.fromiter(map(len, words), np.int64, len(words))
-        flat = np.frombuffer(b"".join(words), np.uint8)
+    def _batch(self, words: list[bytes], block: list[int], out: list[bytes]) -> None:
+        mine = [words[i] for i in block]
+        lens = np.fromiter(map(len, mine), np.int64, len(mine))
+        flat = np.frombuffer(b"".join(mine), np.uint8)
         ends = np.cumsum(lens)
         sym = self.inner[flat].astype(np.int64)
         sym[ends - 1] = self.last[flat[ends - 1]]
-        out: list[np.ndarray] = [None] * len(words)
-        who, big = np.arange(len(words)), np.int64(1) << 62
+        who, big = np.arange(len(mine)), np.int64(1) << 62
         while len(who):
             starts, ends = np.cumsum(lens) - lens, np.cumsum(lens)
             best = np.full(len(sym), big)
@@ -160,8 +171,11 @@ class Merger:
                 best[ends - 1] = big
             low = np.minimum.reduceat(best, starts)
             done = low == big
-            for k in np.flatnonzero(done):
-                out[who[k]] = sym[starts[k] : ends[k]]
+            if done.any():
+                ids = sym[np.repeat(done, lens)].astype("<u4").tobytes()
+                to = np.cumsum(lens[done]) * 4
+                for k, a, b in zip(who[done].tolist(), [0, *to[:-1].tolist()], to.tolist()):
+                    out[block[k]] = ids[a:b]
             go = low[~done]
             at = go & 0xFFFFFFFF
             sym[at] = self.made[go >> 32]
@@ -169,7 +183,6 @@ class Merger:
             keep[at + 1] = False
             who, lens = who[~done], lens[~done] - 1
             sym = sym[keep]
-        return out
 
     def long(self, word: bytes) -> np.ndarray:
         """The same for one long word, by a heap over a linked list: n log n."""
@@ -290,6 +303,22 @@ class Lexicon:
             live = live[lens[live] > step]
         return np.where((place >= 0) & (self.final[state] == 1), place, -1)
 
+    def entry(self, place: int) -> bytes:
+        return self.ids[self.offsets[place] : self.offsets[place + 1]].tobytes()
+
+
+class Memo:
+    """A map of two generations: when the young one is full, it becomes the old one, and what is asked for again comes back."""
+
+    def __init__(self, most: int):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.most = most
+
+    def turn(self) -> None:
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+
 
 class Encoder:
     """Encodes texts and decodes ids; what the blob holds is memory-mapped."""
@@ -298,59 +327,120 @@ class Encoder:
         arrays, meta = _mapped(blob)
         self.merger = Merger(IntMap(arrays["pair_keys"], arrays["pair_values"]), arrays["made"], arrays["inner"], arrays["last"], meta["size"])
         self.lexicon = Lexicon(arrays) if meta["lexicon"] else None
-        self.special = {k: int(v) for k, v in meta["special"].items()}
-        self.tokens = np.array(meta["tokens"], object)
+        self.special = {k: int(v).to_bytes(4, "little") for k, v in meta["special"].items()}
+        self.tokens = pa.array([t.encode() for t in meta["tokens"]], pa.binary())
         self.pieces = Pieces(meta["pattern"], list(self.special))
-        self.memo: dict[str, bytes] = {}
-
-    def learn(self, chunks: list[str]) -> None:
-        """Put chunks that the memo lacks into it: by the lexicon, and by merging what isn't there."""
-        split = [self.pieces.of(c) for c in chunks]
-        words = list(dict.fromkeys(p for ps in split for p in ps if isinstance(p, bytes)))
-        known: dict[bytes, bytes] = {}
-        if words:
-            places = self.lexicon.places(words) if self.lexicon else np.full(len(words), -1)
-            table = self.lexicon.ids if self.lexicon else None
-            missing = []
-            for w, p in zip(words, places.tolist()):
-                if p >= 0:
-                    known[w] = table[self.lexicon.offsets[p] : self.lexicon.offsets[p + 1]].tobytes()
-                else:
-                    missing.append(w)
-            for w, ids in zip(missing, self.merger.words(missing)):
-                known[w] = ids.astype("<u4").tobytes()
-        for c, ps in zip(chunks, split):
-            self.memo[c] = b"".join(known[p] if isinstance(p, bytes) else self.special[p].to_bytes(4, "little") for p in ps)
+        self.chunks, self.words = Memo(MEMO), Memo(MEMO // 2)
+
+    def word_ids(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of each word: by the memo, by the lexicon, and by merging what isn't there."""
+        known, old = self.words.young, self.words.old
+        new = []
+        for w in words.difference(known):
+            if w in old:
+                known[w] = old[w]
+            else:
+                new.append(w)
+        if not new:
+            return known
+        spelled = [w.encode() for w in new]
+        places = self.lexicon.places(spelled).tolist() if self.lexicon else [-1] * len(new)
+        for w, p in zip(new, places):
+            if p >= 0:
+                known[w] = self.lexicon.entry(p)
+        missing = [i for i, p in enumerate(places) if p < 0]
+        for i, ids in zip(missing, self.merger.words([spelled[i] for i in missing])):
+            known[new[i]] = ids
+        return known
+
+    def learn(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks that the memo lacks. They are cut into words as one text, with a mark between."""
+        apart = [i for i, c in enumerate(chunks) if _SEP in c or (self.pieces.cut and "<" in c)]
+        alone = set(apart)
+        together = [c for i, c in enumerate(chunks) if i not in alone] if alone else chunks
+        words = self.pieces.words(f" {_SEP} ".join(together))
+        distinct = set(words)
+        distinct.discard(_SEP)
+        get = self.word_ids(distinct).__getitem__
+        mark = _SEP_ID.to_bytes(4, "little")
+        ids = b"".join([mark if w == _SEP else get(w) for w in words])
+        cuts = (np.flatnonzero(np.frombuffer(ids, "<u4") == _SEP_ID) * 4).tolist()
+        got = [ids[a:b] for a, b in zip([0, *[c + 4 for c in cuts]], [*cuts, len(ids)])]
+        if alone:
+            rest = iter(got)
+            got = [self._alone(c) if i in alone else next(rest) for i, c in enumerate(chunks)]
+        return got
+
+    def _alone(self, chunk: str) -> bytes:
+        parts = [p for p in (self.pieces.cut.split(chunk) if self.pieces.cut else [chunk]) if p]
+        out = []
+        for p in parts:
+            if p in self.special:
+                out.append(self.special[p])
+            else:
+                words = self.pieces.words(p)
+                known = self.word_ids(set(words))
+                out += [known[w] for w in words]
+        return b"".join(out)
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        group: list[list[str]] = []
-        held = 0
-        for t in texts:
-            group.append(chunks := self.pieces.chunks(t or ""))
-            held += len(chunks)
-            if held > 400_000:
-                yield from self._encoded(group)
-                group, held = [], 0
-        yield from self._encoded(group)
-
-    def _encoded(self, group: list[list[str]]) -> Iterator[bytes]:
-        new: set[str] = set()
-        for chunks in group:
-            new.update(chunks)
-        unseen = new.difference(self.memo)
-        if len(self.memo) + len(unseen) > MEMO:
-            self.memo.clear()
-            unseen = new
-        if unseen:
-            self.learn(list(unseen))
-        get = self.memo.__getitem__
-        for chunks in group:
-            yield b"".join(map(get, chunks))
+        for ids, ends in self.columns(pa.array(texts, pa.string())):
+            for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
+                yield ids[a:b].tobytes()
+
+    def columns(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For some rows of a column of texts at a time: all their ids, and where each row's end."""
+        return map(self._encoded, slices(column))
+
+    def _encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        chunks = self.pieces.split(texts)
+        rows = chunks.offsets.to_numpy().astype(np.int64)
+        coded = chunks.flatten().dictionary_encode()
+        which, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        ids = self.ids_of(distinct)
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        start = np.cumsum(size) - size
+        n = size[which]
+        end = np.cumsum(n)
+        out = flat[np.repeat(start[which] - end + n, n) + np.arange(end[-1] if len(end) else 0)]
+        return out, np.concatenate([[0], end])[rows[1:] - rows[0]]
+
+    def ids_of(self, distinct: list[str]) -> list[bytes]:
+        """The ids of distinct chunks: by the memo, and by learning what it lacks."""
+        young, old = self.chunks.young, self.chunks.old
+        none = None
+        out = [young.get(c, none) for c in distinct]
+        new = []
+        for i, ids in enumerate(out):
+            if ids is none:
+                c = distinct[i]
+                if (ids := old.get(c, none)) is none:
+                    new.append(i)
+                else:
+                    young[c] = out[i] = ids
+        for at in range(0, len(new), AT_ONCE):
+            part = new[at : at + AT_ONCE]
+            for i, ids in zip(part, self.learn([distinct[i] for i in part])):
+                out[i] = ids
+                if len(distinct[i]) <= KEPT:
+                    young[distinct[i]] = ids
+            self.words.turn()
+        self.chunks.turn()
+        return out
 
     def decode(self, ids: bytes) -> str:
         """The tokens joined by blanks, as a tokenizer without a decoder does."""
-        return " ".join(self.tokens[np.frombuffer(ids, "<u4")].tolist())
+        return self.decoded(np.frombuffer(ids, "<u4"), np.array([len(ids) >> 2]))[0].decode()
+
+    def decoded(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The same for rows of ids, in UTF-8."""
+        if len(ids) > SLICE:  # one very long row: its text may be beyond what an Arrow array of 32-bit offsets holds
+            named = self.tokens.to_pylist()
+            return [b" ".join([named[i] for i in row.tolist()]) for row in np.split(ids, ends[:-1])]
+        tokens = self.tokens.take(pa.array(ids.astype(np.int64)))
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), tokens), b" ").to_pylist()
 
 
 class Pieces:
@@ -363,24 +453,21 @@ class Pieces:
     def __init__(self, pattern: str, special: list[str]):
         self.find = regex.compile(pattern).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
-        self.marks = set(special)
 
     def chunks(self, text: str) -> list[str]:
         return [c for c in _SPACE.split(text) if c] if _MORE_SPACE.search(text) else text.split()
 
-    def of(self, chunk: str) -> list[bytes | str]:
-        if chunk.isascii():
-            if chunk.isalpha():
-                return [chunk.lower().encode()]
-            if chunk[:-1].isalpha() and chunk[-1] in ".,":
-                return [chunk[:-1].lower().encode(), chunk[-1].encode()]
-        if self.cut and "<" in chunk:
-            return [p for part in self.cut.split(chunk) if part for p in ([part] if part in self.marks else self._words(part))]
-        return self._words(chunk)
+    def split(self, texts: pa.Array) -> pa.Array:
+        """The chunks of each text as lists; there may be empty ones."""
+        if pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py():
+            return pa.array([self.chunks(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+        return pc.utf8_split_whitespace(texts)
 
-    def _words(self, part: str) -> list[bytes]:
-        part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-        return [w.encode() for w in self.find(part)]
+    def words(self, part: str) -> list[str]:
+        """The words of a text without special tokens."""
+        if not part.isascii():
+            part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
+        return self.find(part.lower())
 
 
 def load_model(path: str) -> dict:
@@ -413,7 +500,7 @@ def compile_blob(model: dict, words: Iterable[bytes] = ()) -> bytes:
     if words:
         ids = Merger(pairs, made, inner, last, size).words(words)
         arrays |= build_automaton(words)
-        arrays |= {"id_offsets": np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64), "ids": np.concatenate(ids).astype("<u4")}
+        arrays |= {"id_offsets": np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int64), "ids": np.frombuffer(b"".join(ids), "<u4")}
     return _pack(arrays, {"size": size, "lexicon": bool(words), "special": model["special"], "tokens": tokens, "pattern": model["pattern"]})
 
 
@@ -429,6 +516,16 @@ def encoder(blob: bytes) -> Encoder:
     return _ENCODERS[key]
 
 
+def slices(column: pa.Array) -> Iterator[pa.Array]:
+    """A column of texts, at most SLICE bytes or one row at a time; nulls are empty texts."""
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64).cumsum()
+    at = 0
+    while at < len(column):
+        to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + SLICE, "right")))
+        yield pc.fill_null(column.slice(at, to - at), "")
+        at = to
+
+
 def frequent_words(docs: DataFrame, model: dict, lexicon_words: int, text_col: str = "text") -> list[bytes]:
     """The most frequent words over all documents, `lexicon_words` of them at most; words are counted in each task first."""
     pattern, special = model["pattern"], list(model["special"])
@@ -439,18 +536,19 @@ def frequent_words(docs: DataFrame, model: dict, lexicon_words: int, text_col: s
         def out() -> Iterator[pa.RecordBatch]:
             words: Counter = Counter()
             for chunk, n in seen.items():
-                for w in pieces.of(chunk):
-                    if isinstance(w, bytes) and len(w) <= _LONG:
+                parts = pieces.cut.split(chunk) if pieces.cut and "<" in chunk else [chunk]
+                for w in (w for p in parts if p and p not in special for w in pieces.words(p)):
+                    if len(w) <= KEPT:
                         words[w] += n
             seen.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([w.encode() for w in words], pa.binary()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
 
         for b in batches:
-            for t in b.column(0).to_pylist():
-                if t:
-                    seen.update(pieces.chunks(t))
-                    if len(seen) > 400_000:
-                        yield from out()
+            for chunk in slices(b.column(0)):
+                counts = pieces.split(chunk).flatten().value_counts()
+                seen.update(dict(zip(counts.field(0).to_pylist(), counts.field(1).to_pylist())))
+                if len(seen) > MEMO:
+                    yield from out()
         yield from out()
 
     counted = written(docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
@@ -477,19 +575,16 @@ def encode_decode(docs: DataFrame, vocabulary: str, *, lexicon_words: int = 65_5
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(sent.value)
         for b in batches:
-            n, ids_sha, text_sha, ids_out, text_out = [], [], [], [], []
-            for ids in enc.encode(b.column(1).to_pylist()):
-                text = enc.decode(ids)
-                n.append(len(ids) // 4)
-                ids_sha.append(hashlib.sha256(ids).hexdigest())
-                text_sha.append(hashlib.sha256(text.encode()).hexdigest())
+            at = 0
+            for ids, ends in enc.columns(b.column(1)):
+                texts, held = enc.decoded(ids, ends), ids.tobytes()
+                starts = [0, *ends[:-1].tolist()]
+                mine = [held[a * 4 : e * 4] for a, e in zip(starts, ends.tolist())]
+                out = [b.column(0).slice(at, len(mine)), pa.array(ends - np.array(starts), pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in mine], pa.string()), pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string())]
                 if keep_ids:
-                    ids_out.append(ids)
-                    text_out.append(text)
-            out = [b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
-            if keep_ids:
-                out += [pa.array(ids_out, pa.binary()), pa.array(text_out, pa.string())]
-            yield pa.RecordBatch.from_arrays(out, names)
+                    out += [pa.array(mine, pa.binary()), pa.array(texts, pa.binary()).cast(pa.string())]
+                at += len(mine)
+                yield pa.RecordBatch.from_arrays(out, names)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary, decoded string" * keep_ids

@@ -30,17 +30,19 @@ def tokenised(docs: DataFrame, blob: bytes, end_id: int, id_col: str = "doc_id",
     sent = docs.sparkSession.sparkContext.broadcast(blob)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end, part, at = encoder(sent.value), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), 0
-        narrow = len(enc.tokens) <= 1 << 16
+        enc, part, at = encoder(sent.value), TaskContext.get().partitionId(), 0
+        kind = "<u2" if len(enc.tokens) <= 1 << 16 else "<u4"
         for b in batches:
-            ids, n, start = [], [], []
-            for x in enc.encode(b.column(1).to_pylist()):
-                x += end
-                n.append(len(x) // 4)
-                start.append(at)
-                at += n[-1]
-                ids.append(np.frombuffer(x, "<u4").astype("<u2").tobytes() if narrow else x)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), pa.array(n, pa.int64()), pa.array([part] * len(n), pa.int64()), pa.array(start, pa.int64())], ["doc_id", "ids", "n", "part", "start_in_part"])
+            row = 0
+            for ids, ends in enc.columns(b.column(1)):
+                n = np.diff(ends, prepend=0) + 1
+                to = np.cumsum(n)
+                data = np.insert(ids, ends, end_id).astype(kind)
+                cuts = np.concatenate([[0], to]) * data.itemsize
+                blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(row, len(n)), blobs, pa.array(n, pa.int64()), pa.array(np.full(len(n), part), pa.int64()), pa.array(at + to - n, pa.int64())], ["doc_id", "ids", "n", "part", "start_in_part"])
+                row += len(n)
+                at += int(to[-1])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids binary, n long, part long, start_in_part long")
