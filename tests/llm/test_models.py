@@ -157,9 +157,9 @@ def test_tree_matching_of_uniform_lists():
     page = lambda n, more: html_extract.parse("<body>" + more + "".join(f"<div><p>{more}{i}</p></div>" for i in range(n)) + "<div><b>foot</b></div></body>")
     for n in (3, 600):
         pairs = html_extract.simple_tree_matching(page(n, ""), page(n + 2, "<div><i>ad</i></div>"))
-        assert [q.text() for p, q in pairs if p.text() == "foot"] == ["foot"]
+        assert [q.own for p, q in pairs if p.own == "foot"] == ["foot"]
     long = lambda n, more: html_extract.parse("<body>" + "".join(f"<p>{more}{i}</p>" for i in range(n)) + "<p>foot</p></body>")
-    assert [q.text() for p, q in html_extract.simple_tree_matching(long(2100, "a"), long(2300, "b")) if p.text() == "foot"] == ["foot"]
+    assert [q.own for p, q in html_extract.simple_tree_matching(long(2100, "a"), long(2300, "b")) if p.own == "foot"] == ["foot"]
 
 
 def test_wrappers_without_marks(spark):
@@ -184,6 +184,35 @@ def test_template_inside_articles(spark):
         assert got[i] == "\n".join([f"Title {i}", *[f"Part {j} of story {i} tells {i * 7 + j} things." for j in range(2 + i % 3)]])
 
 
+def test_words_in_classes_and_ids():
+    h = '<article><h1 id="search-for-meaning">T</h1><div id="comment-on-war"><p>a</p></div><p class="lead related-work">b</p><span class="share-price">c</span><p class="search-results">d</p><div class="post-comments">no</div><p class="notice">no</p><div id="comments">no</div><div class="cookie-notice-2">no</div></article>'
+    assert html_extract.page_text(h) == "T\na\nb\nc\nd"
+    assert html_extract.page_text('<div class="site-header">no</div><div><p>x</p></div>') == "x"
+
+
+def test_deep_pages(spark):
+    deep = lambda i, n: f"<html><body><article><h1>T{i}</h1>" + "<div>" * n + f"<p>text {i}</p>" + "</div>" * n + "</article></body></html>"
+    rows = [(i, "http://deep.example/x", deep(i, 10_000 - 7 * i)) for i in range(3)] + [(9, "http://deep.example/y", "<b>" * 9000 + "z" + "</i>" * 20_000)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {0: "T0\ntext 0", 1: "T1\ntext 1", 2: "T2\ntext 2", 9: "z"}
+
+
+def test_two_pages_and_region(spark):
+    page = lambda i: f'<html><body><table><tr><td><a href="/">Start</a></td><td>Archive of all we wrote and of all that we will ever write, by the year and by the month, since we began.</td></tr></table><div class="x{i}"><p>Title of {i}</p></div><div class="story"><p>Story {i} has much to say about {i * 7} things, and it says so in many words.</p><p>It ends with {i}, as others do, after all has been said on it.</p></div></body></html>'
+    rows = [(i, "http://two.example/", page(i)) for i in (1, 2)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in (1, 2):
+        assert got[i] == f"Story {i} has much to say about {i * 7} things, and it says so in many words.\nIt ends with {i}, as others do, after all has been said on it."
+
+
+def test_copies_of_a_short_article_do_not_count(spark):
+    # menus and notices are most of each page; a third of the pages are copies of the reference
+    page = lambda i: f"<html><body><article><h1>T{i}</h1><p>Short text {i}.</p><div><p>Read more of us, day by day, in our paper, at home and on the road.</p></div></article><nav>{'menu ' * 300}</nav></body></html>"
+    rows = [(i, "http://c.example/", page(0 if i < 4 else i)) for i in range(12)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == got[3] and all(got[i].startswith(f"T{i}\nShort text {i}.") for i in range(4, 12)) and "Short text 0." in got[0]
+
+
 def test_pages_of_table(spark):
     from html import unescape
 
