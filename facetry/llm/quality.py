@@ -2,17 +2,21 @@
 
 Two generative models over hashed n-grams: one of the target text (labelled documents of good quality), one of the raw
 text (all documents). Words and runs of punctuation are unigrams, neighbours are bigrams, both hashed into `buckets`; a
-word that follows itself counts in a bucket of its own. A document's weight is the ratio of the models, per n-gram and
-shrunk by `prior` n-grams so that short texts are not judged on chance. Documents are drawn without replacement by
-Gumbel top-k: sharpness * log ratio + Gumbel noise, the k largest. Without a given k it is the number of documents whose
-log ratio is at least `least`, so what is drawn are the target-like documents, and chance decides near the line only.
+word that follows itself counts in a bucket of its own. A document's log ratio is the sum over its n-grams, its log weight
+adds `allowance` for each n-gram and for `prior` more: text may be that much less likely in the target than in the raw
+model, for the raw text is target text for the most part, and short texts are not judged on chance. Documents are drawn
+without replacement in proportion to their weights, by Gumbel top-k: log weight + Gumbel noise, the k largest. Without a
+given k it is the number of documents with a weight of at least 1, so mostly target-like documents are drawn, and chance
+decides near the line. `sharpness` multiplies log weights (1: in proportion to the weights).
 
 The raw model, the scores and the draw cover all documents. The target model uses at most about `fit_rows` labelled rows
-(chosen by a hash of the id). The k-th largest key is found by counting in ever finer intervals, not by sorting.
+(chosen by a hash of the id). Each text is cut twice, once for the models and once for its score, and the scores are
+written. The k-th largest key is found by counting in ever finer intervals, not by sorting.
 
 Defined cases: null and empty texts have log ratio 0; the noise hangs on the id, so repeated rows stay or go together
-(null ids too); documents with contradicting labels are not target; without labels every ratio is 0 and all stay; an
-empty table gives an empty table. All columns pass through; log_ratio, gumbel_key and keep are replaced.
+(null ids too); ties of keys at the line all stay; documents with contradicting labels are not target; without labels
+every ratio is 0; an empty table gives an empty table. All columns pass through; log_ratio, log_weight, gumbel_key and
+keep are replaced.
 """
 
 from __future__ import annotations
@@ -24,14 +28,17 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from facetry.llm.bpe import Memo, slices
 from facetry.llm.common import written
 
 _TOKENS = re.compile(r"[^\W_]+|[^\w\s]+|_+").findall
-_MEMO = 700_000
+#: Bounds of a worker's memory: chunks in each generation of the memo, and characters of the longest chunk in it.
+_MEMO, _KEPT = 150_000, 48
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -41,21 +48,38 @@ class Grams:
     def __init__(self, buckets: int):
         if buckets & (buckets - 1):
             raise ValueError("buckets has to be a power of two")
-        self.shift, self.memo = np.uint64(64 - (buckets.bit_length() - 1)), {}
-
-    def _hashes(self, chunk: str) -> bytes:
-        if len(self.memo) > _MEMO:
-            self.memo.clear()
-        out = self.memo[chunk] = b"".join(xxhash.xxh64_digest(t, 7) for t in _TOKENS(chunk))
+        self.shift, self.memo = np.uint64(64 - (buckets.bit_length() - 1)), Memo(_MEMO)
+
+    def _hashes(self, chunks: list[str]) -> list[bytes]:
+        young, old, out = self.memo.young, self.memo.old, []
+        for c in chunks:
+            if (h := young.get(c)) is None:
+                if (h := old.get(c)) is None:
+                    h = b"".join([xxhash.xxh64_digest(t, 7) for t in _TOKENS(c)])
+                if len(c) <= _KEPT:
+                    young[c] = h
+            out.append(h)
+        self.memo.turn()
         return out
 
-    def of(self, text: str | None) -> np.ndarray:
-        memo, new = self.memo, self._hashes
-        h = np.frombuffer(b"".join([memo.get(c) or new(c) for c in (text or "").split()]), "<u8")
-        uni = (h * _A) >> self.shift
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The buckets of all n-grams of some texts, and the row that each belongs to."""
+        chunks = pc.utf8_split_whitespace(texts)
+        rows = chunks.offsets.to_numpy().astype(np.int64)
+        coded = chunks.flatten().dictionary_encode()
+        which, hashes = coded.indices.to_numpy(), self._hashes(coded.dictionary.to_pylist())
+        flat = np.frombuffer(b"".join(hashes), "<u8")
+        size = np.fromiter(map(len, hashes), np.int64, len(hashes)) >> 3
+        start, n = np.cumsum(size) - size, size[which]
+        end = np.cumsum(n)
+        h = flat[np.repeat(start[which] - end + n, n) + np.arange(end[-1] if len(end) else 0)]
+        tokens = np.diff(np.concatenate([[0], end])[rows - rows[0]])
+        row = np.repeat(np.arange(len(tokens)), tokens)
+        same = np.flatnonzero(row[1:] == row[:-1])
+        first, second = h[same], h[same + 1]
         # bucket 0 is for words that follow themselves
-        two = np.where(h[:-1] == h[1:], np.uint64(0), (h[:-1] * _A + h[1:] * _B) >> self.shift)
-        return np.concatenate([uni, two]).astype(np.int64)
+        two = np.where(first == second, np.uint64(0), (first * _A + second * _B) >> self.shift)
+        return np.concatenate([(h * _A) >> self.shift, two]).astype(np.int64), np.concatenate([row, row[same]])
 
 
 @dataclass
@@ -76,11 +100,14 @@ def fit(docs: DataFrame, labels: DataFrame, *, buckets: int = 1 << 14, fit_rows:
         grams, good = Grams(buckets), sent.value
         raw, tgt = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for b in batches:
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                g = grams.of(t)
-                np.add.at(raw, g, 1)
-                if i in good:
-                    np.add.at(tgt, g, 1)
+            at = 0
+            for texts in slices(b.column(1)):
+                g, row = grams.of(texts)
+                raw += np.bincount(g, minlength=buckets)
+                mine = np.array([i in good for i in b.column(0).slice(at, len(texts)).to_pylist()])
+                at += len(texts)
+                if mine.any():
+                    tgt += np.bincount(g[mine[row]], minlength=buckets)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets)), pa.array(raw), pa.array(tgt)], ["bucket", "raw", "target"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -94,17 +121,21 @@ def fit(docs: DataFrame, labels: DataFrame, *, buckets: int = 1 << 14, fit_rows:
     return Model(ratio, len(target))
 
 
-def log_ratio(docs: DataFrame, model: Model, text: Column, prior: float = 20.0) -> Column:
-    """The log of the models' ratio per n-gram, as a column."""
+def scores(docs: DataFrame, model: Model, text: Column) -> Column:
+    """A struct of the log ratio of the models for the text, and the number of its n-grams."""
     sent = docs.sparkSession.sparkContext.broadcast(model.log_ratio)
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("struct<log_ratio: double, n: long>")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         ratio = sent.value
         grams = Grams(len(ratio))
         for texts in batches:
-            found = [grams.of(t) for t in texts]
-            yield pd.Series([float(ratio[g].sum() / (len(g) + prior)) for g in found], dtype=float)
+            out = []
+            for part in slices(pa.array(texts, pa.string(), from_pandas=True)):
+                g, row = grams.of(part)
+                out.append((np.bincount(row, ratio[g], len(part)), np.bincount(row, minlength=len(part))))
+            total, n = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0), np.zeros(0, np.int64))
+            yield pd.DataFrame({"log_ratio": total, "n": n})
 
     return score(text.cast("string"))
 
@@ -143,13 +174,15 @@ def kth_largest(keys: DataFrame, column: str, k: int, cells: int = 4096) -> floa
     return low
 
 
-def draw(docs: DataFrame, labels: DataFrame, *, k: int | None = None, least: float = -0.2, sharpness: float = 100.0, prior: float = 20.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:
-    """The drawn documents with all their columns, and log_ratio, gumbel_key, keep (true)."""
+def draw(docs: DataFrame, labels: DataFrame, *, k: int | None = None, allowance: float = 0.2, prior: float = 20.0, sharpness: float = 1.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True, model: Model | None = None) -> DataFrame:
+    """The drawn documents with all their columns (the text only if keep_text), and log_ratio, log_weight, gumbel_key, keep (true)."""
     model = model or fit(docs, labels, id_col=id_col, text_col=text_col)
-    base = docs.drop("log_ratio", "gumbel_key", "keep")
-    scored = base.withColumn("log_ratio", log_ratio(docs, model, F.col(text_col), prior)).withColumn("gumbel_key", F.lit(sharpness) * F.col("log_ratio") + gumbel(F.col(id_col), seed))
-    keys = written(scored.select("log_ratio", "gumbel_key"), "keys")
-    wanted = k if k is not None else keys.where(F.col("log_ratio") >= least).count()
+    found = docs.drop("log_ratio", "log_weight", "gumbel_key", "keep").withColumn("_score", scores(docs, model, F.col(text_col)))
+    # without a target model no document is told from another, and all have the weight 1
+    weight = F.col("_score.log_ratio") + allowance * (F.col("_score.n") + prior) if model.target_rows else F.lit(0.0)
+    found = found.withColumns({"log_ratio": F.col("_score.log_ratio"), "log_weight": weight}).drop("_score", *([] if keep_text else [text_col]))
+    scored = written(found.withColumn("gumbel_key", F.lit(sharpness) * F.col("log_weight") + gumbel(F.col(id_col), seed)), "scored")
+    wanted = k if k is not None else scored.where("log_weight >= 0").count()
     if wanted <= 0:
         return scored.where("false").withColumn("keep", F.lit(True))
-    return scored.where(F.col("gumbel_key") >= kth_largest(keys, "gumbel_key", wanted)).withColumn("keep", F.lit(True))
+    return scored.where(F.col("gumbel_key") >= kth_largest(scored, "gumbel_key", wanted)).withColumn("keep", F.lit(True))

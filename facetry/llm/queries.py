@@ -25,7 +25,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality.draw(docs, table(spark, sf_dir, "labels")).select("doc_id", "log_ratio", "gumbel_key", "keep")
+    return quality.draw(docs, table(spark, sf_dir, "labels"), keep_text=False).select("doc_id", "log_ratio", "log_weight", "gumbel_key", "keep")
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,15 @@
 """Quality, personal data, exact search, page text and the whole pipeline."""
 
 import hashlib
+import math
 import random
 import re
+import struct
+from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from facetry.llm import exact_topk, html_extract, pii, quality
@@ -39,6 +43,51 @@ def test_gumbel_top_k(spark):
     assert quality.draw(d, lab, k=0, model=model).count() == 0 and quality.draw(d, lab, k=10**6, model=model).count() == 200
 
 
+def brute_draw(rows, target, k=None, buckets=1 << 14):
+    """Ids drawn, and those that a hard line would keep, by plain counting."""
+    mask = (1 << 64) - 1
+
+    def grams(t):
+        h = [int.from_bytes(xxhash.xxh64_digest(w, 7), "little") for w in re.findall(r"[^\W_]+|[^\w\s]+|_+", t or "")]
+        two = [0 if a == b else ((a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F) & mask) >> 50 for a, b in zip(h, h[1:])]
+        return [((a * 0x9E3779B97F4A7C15) & mask) >> 50 for a in h] + two
+
+    raw, good = Counter(), Counter()
+    for i, t in rows:
+        raw.update(grams(t))
+        if i in target:
+            good.update(grams(t))
+    r, g = sum(raw.values()), sum(good.values())
+    ratio = lambda x: math.log((good[x] + 0.5) / (g + 0.5 * buckets)) - math.log((raw[x] + 0.5) / (r + 0.5 * buckets))
+    keyed = []
+    for i, t in rows:
+        x = grams(t)
+        weight = sum(map(ratio, x)) + 0.2 * (len(x) + 20)
+        h = xxhash.xxh64_intdigest(struct.pack("<i", 17), xxhash.xxh64_intdigest(struct.pack("<q", i), 42))
+        keyed.append((weight - math.log(-math.log((h % (1 << 52) + 0.5) / (1 << 52))), weight, i))
+    line = {i for _, w, i in keyed if w >= 0}
+    return {i for _, _, i in sorted(keyed, reverse=True)[: len(line) if k is None else k]}, line
+
+
+def test_draw_against_brute_force(spark):
+    rng = random.Random(7)
+    clean = [" ".join(rng.choice(("the", "sun", "was", "low", "and", "we", "went", "home", ",", f"by{rng.randint(0, 30)}")) for _ in range(rng.randint(1, 60))) for _ in range(300)]
+    junk = [" ".join(rng.choice(("buy", "now!!!", "$$$", "free", "the", "we", f"x{rng.randint(0, 30)}")) for _ in range(rng.randint(1, 12))) for _ in range(300)]
+    rows = list(enumerate([x for pair in zip(clean, junk) for x in pair], 100)) + [(1, None), (2, ""), (3, "\x1c_ a__b")]
+    target = {i for i, t in rows if t in clean and i % 3 == 0}
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = quality.draw(d, _labels(spark, [(i, 1, 0) for i in target]))
+    want, line = brute_draw(rows, target)
+    assert {r.doc_id for r in got.collect()} == want and want != line and len(want) == len(line)
+    assert {r.doc_id for r in quality.draw(d, _labels(spark, [(i, 1, 0) for i in target]), k=100, keep_text=False).collect()} == brute_draw(rows, target, 100)[0]
+
+
+def test_ties_and_clashing_columns(spark):
+    d = docs(spark, ["same text here"] * 5, [7] * 5).withColumns({"log_ratio": F.lit("x"), "gumbel_key": F.lit("y"), "log_weight": F.lit(1)})
+    got = quality.draw(d, _labels(spark, [(7, 1, 0)]), k=2).collect()
+    assert len(got) == 5 and all(isinstance(r.gumbel_key, float) and r.keep is True for r in got)  # equal keys at the line all stay
+
+
 def test_kth_largest(spark):
     rng = random.Random(1)
     for values in ([rng.gauss(0, 1) for _ in range(3000)], [1.0] * 50 + [2.0] * 50, [1e-300 * i for i in range(100)], [5.0]):
