@@ -4,7 +4,8 @@ Lines are exploded, normalised and hashed (two chained 64-bit hashes). Distinct
 steps, so that a line which stands in a third of all documents is first counted per task. A line found in at least
 `min_docs` documents is dropped everywhere but in the document with the largest id that holds it; the documents are put
 together again by position. Neither the texts nor the lines' text are shuffled for counting, only hashes; the lines that
-go are joined by a salted key.
+go are found by joins: those with a thousandth of all rows or more, a thousand keys at most, by a broadcast, the rest by
+their hashes.
 
 Defined cases: a null text is an empty text, and both are one empty line. A null doc_id counts as one document, smaller
 than any other. Rows with the same id are one document for counting; equal rows give equal results, as often as they
@@ -22,7 +23,8 @@ from facetry.llm.common import text_or_empty, written
 #: The characters [\\x20\\x09-\\x0D], stripped at both ends.
 BLANKS = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_SALTS = 16
+#: Lines that hold one part in so many of all rows are joined apart, so there are so many keys of them at most.
+_HOT = 1000
 
 
 def ascii_lower(c: Column) -> Column:
@@ -42,15 +44,19 @@ def dedup_lines(docs: DataFrame, *, min_chars: int = 20, min_docs: int = 3, id_c
     rows = docs.select(ident.alias("_id"), F.xxhash64(text).alias("_th"), F.posexplode(F.split(text, "\n")).alias("_pos", "_line"))
     keyed = rows.select("_id", "_th", "_pos", line_key(F.col("_line")).alias("_key")).where(F.char_length("_key") >= min_chars)
     lines = written(keyed.select("_id", "_th", "_pos", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit("line"), "_key").alias("_h2")), "lines")
-    found = lines.groupBy("_h1", "_h2", "_id").agg(F.count(F.lit(1)).alias("_n")).groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_docs"), F.max("_id").alias("_last")).where(F.col("_docs") >= min_docs)
-    salted = found.select("_h1", "_h2", "_last", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt"))
-    drops = lines.withColumn("_salt", F.pmod(F.xxhash64("_id", "_pos"), F.lit(_SALTS)).cast("int")).join(salted, ["_h1", "_h2", "_salt"]).where(F.col("_id") != F.col("_last"))
+    counted = lines.groupBy("_h1", "_h2", "_id").agg(F.count(F.lit(1)).alias("_n")).groupBy("_h1", "_h2")
+    found = written(counted.agg(F.count(F.lit(1)).alias("_docs"), F.sum("_n").alias("_rows"), F.max("_id").alias("_last")).where(F.col("_docs") >= min_docs), "found")
+    hot = F.col("_rows") * _HOT >= lines.count()
+    wide = F.broadcast(found.where(hot).select("_h1", "_h2", "_last"))
+    rest = lines.join(wide.drop("_last"), ["_h1", "_h2"], "left_anti").join(found.where(~hot).select("_h1", "_h2", "_last"), ["_h1", "_h2"])
+    drops = lines.join(wide, ["_h1", "_h2"]).unionByName(rest).where(F.col("_id") != F.col("_last"))
     gone = drops.groupBy("_id", "_th").agg(F.array_distinct(F.collect_list("_pos")).alias("_gone")).withColumnsRenamed({"_id": "_gid", "_th": "_gth"})
     keyed_docs = base.withColumns({"_id": ident, "_th": F.xxhash64(text)})
     joined = keyed_docs.join(gone, (F.col("_id") == F.col("_gid")) & (F.col("_th") == F.col("_gth")), "left")
     all_lines = F.split(text, "\n")
-    # array_except keeps the order of its first array and works by hashing, so a long document stays linear
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("_gone")), lambda i: F.element_at(F.split(text, "\n"), i + 1))
+    # array_except keeps the order of its first array and works by hashing, and the text is split once, so a long document stays linear
+    places = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("_gone"))
+    kept = F.element_at(F.transform(F.array(all_lines), lambda lines: F.transform(places, lambda i: F.element_at(lines, i + 1))), 1)
     out = joined.withColumns({"n_lines": F.size(all_lines).cast("long"), "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"), "_kept": F.when(F.col("_gone").isNull(), text).otherwise(F.array_join(kept, "\n"))})
     return out.withColumn(text_col, F.col("_kept")).drop("_id", "_th", "_gid", "_gth", "_gone", "_kept")
 

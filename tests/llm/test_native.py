@@ -50,14 +50,19 @@ def _entropy(s):
 def test_entropy_windows(spark):
     rng = random.Random(6)
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
-    cands = ["".join(rng.choice(alphabet) for _ in range(rng.randint(24, 60))) for _ in range(30)] + ["Aa1" * 12, "Zq" * 20 + "x9K2mQ7vTbL4nR8sWc3dYf6g", "0" * 30 + "Zk3Qp8Xv2Lm7Tn5Rb9Wd4Hs6"]
+    cands = ["".join(rng.choice(alphabet) for _ in range(rng.randint(24, 60))) for _ in range(30)] + ["Aa1" * 12, "Zq" * 20 + "x9K2mQ7vTbL4nR8sWc3dYf6g", "0" * 30 + "Zk3Qp8Xv2Lm7Tn5Rb9Wd4Hs6", "Zk3Qp8Xv2Lm7Tn5Rb9Wd4Hs6" + "a1" * 40 + "Yk3Qp8Xv2Lm7Tn5Rb9Wd4Hs7z"]
     got = {r.doc_id: r.spans for r in secret_scan.scan(docs(spark, ["x " + c + " y" for c in cands])).collect()}
     _, _, w, least = secret_scan.CLASSES["base64"]
     for i, c in enumerate(cands, 10):
         hot = [k for k in range(len(c) - w + 1) if _entropy(c[k : k + w]) >= least - 1e-9]
         allowed = any(re.search(p, c) for p in secret_scan.ALLOW)
-        want = f"base64:{2 + hot[0]}:{2 + hot[-1] + w}" if hot and not allowed else None
-        assert [s for s in got[i].split(",") if s.startswith("base64")] == ([want] if want else []), c
+        runs = []
+        for k in hot if not allowed else ():
+            if runs and k <= runs[-1][1]:
+                runs[-1][1] = k + w
+            else:
+                runs.append([k, k + w])
+        assert [s for s in got[i].split(",") if s.startswith("base64")] == [f"base64:{2 + a}:{2 + b}" for a, b in runs], c
 
 
 def test_allow_list(spark):
@@ -78,6 +83,30 @@ def test_redaction(spark):
     assert "3f76bb" not in got[18] and got[18].count("[SECRET]") >= 3 and got[18].startswith("[SECRET]")
 
 
+def test_redaction_masks_what_scan_finds(spark):
+    rng = random.Random(11)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    parts = ["token=", " ", "AKIA", "ABCDEFGHJKMNPQR1", "0123456789abcdef", "\ue000", "\ufdd0", "🙂", "secret: ", "".join(rng.choice(alphabet) for _ in range(40)), "a1" * 20]
+    texts = TEXTS + ["".join(rng.choice(parts) for _ in range(rng.randint(1, 9))) for _ in range(150)]
+    scanned = {r.doc_id: r.spans for r in secret_scan.scan(docs(spark, texts)).collect()}
+    df = secret_scan.redact(docs(spark, texts))
+    _native(df)
+    assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+    got = {r.doc_id: r.text for r in df.collect()}
+    for i, t in enumerate(texts, 10):
+        covered = sorted(tuple(map(int, x.split(":")[1:])) for x in scanned[i].split(",") if x)
+        merged = []
+        for a, b in covered:
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(b, merged[-1][1])
+            else:
+                merged.append([a, b])
+        want, at = "", 0
+        for a, b in merged:
+            want, at = want + t[at:a] + "[SECRET]", b
+        assert got[i] == (want + t[at:] if merged else t), t
+
+
 def lines_brute(rows):
     key = lambda s: s.strip(" \t\n\x0b\x0c\r").translate({c: c + 32 for c in range(65, 91)})
     found = {}
@@ -156,7 +185,10 @@ def test_edited_digest(spark):
         assert 0 <= r.near_edited <= 1 and (r.near_edited == 1 or e != t)
     assert simhash.digest(simhash.with_edited(docs(spark, []))).count() == 0
     one = simhash.digest(simhash.with_edited(docs(spark, ["alone here"]))).first()
-    assert one.edited_sha256 == hashlib.sha256(b"alonealone").hexdigest() or one.n_chars == 10
+    assert one.edited_sha256 == hashlib.sha256(b"alonealone").hexdigest() and one.n_chars == 10
+    assert one.near_next == 1.0
+    nulls = simhash.digest(simhash.with_edited(docs(spark, ["b b b", "a a a", None, "c"], [None, None, 3, 4])))
+    assert [(r.doc_id, r.n_chars) for r in nulls.orderBy("doc_id", "n_chars").collect()] == [(None, 5), (None, 5), (3, 0), (4, 1)]
 
 
 def test_permuted_tables(spark):
