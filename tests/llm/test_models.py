@@ -169,8 +169,27 @@ def test_exact_topk(spark, block, rows_in_block):
     rows = [(i, base[i % 200].tolist()) for i in range(260)]  # copies: ties
     rows += [(1000, None), (1001, [None] * 12), (1100, [float("nan")] * 12), (1200, [float("inf")] * 12), (1300, [0.5] * 5), (1400, []), (1500, [3e5] * 12), (7, base[7].tolist()), (None, [0.1] * 12)]
     df = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<float>, label int, rank int").repartition(5)
-    got = exact_topk.top_k(df, F.col("vec_id") % 100 == 0, block=block, rows_in_block=rows_in_block).collect()
-    assert sorted(map(tuple, got)) == brute_topk(rows)
+    for size in (1 << 20, 200):  # one pass, and many
+        got = exact_topk.top_k(df, F.col("vec_id") % 100 == 0, block=block, rows_in_block=rows_in_block, query_bytes=size).collect()
+        assert sorted(map(tuple, got)) == brute_topk(rows)
+
+
+def test_bounds_leave_out_work():
+    rng = np.random.default_rng(5)
+    for spread, most in ((np.ones(64), 0.9), (0.9 ** np.arange(64), 0.45)):
+        x = rng.normal(0, 1, (8192, 64)) * spread
+        x = np.floor(1024 * x / np.linalg.norm(x, axis=1)[:, None]).astype(np.int64).T
+        q, ids = x[:, :40].copy(), np.arange(8192)
+        exact = q.T @ x
+        exact[np.arange(40), np.arange(40)] = -(1 << 40)
+        best, took = exact_topk.Best(40, 10), []
+        for at in range(0, 8192, 2048):
+            row, col, score, done = exact_topk.search_block(ids[:40], q, ids[at : at + 2048], x[:, at : at + 2048], 10, 8, best.floor)
+            best.add(row, ids[at : at + 2048][col], score)
+            took.append(done / (40 * 2048 * 64))
+        want = np.sort(exact, axis=1)[:, ::-1][:, :10]
+        assert (best.score.reshape(40, 10) == want).all()
+        assert took[-1] < most, took
 
 
 def test_topk_edges(spark):
