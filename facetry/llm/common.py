@@ -22,6 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         jsc = spark.sparkContext._jsc.sc()
         if jsc.getCheckpointDir().isEmpty():
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
             spark.sparkContext.setCheckpointDir("/tmp/facetry-shared")
         named = jsc.getCheckpointDir().get()
     return named.rstrip("/")
@@ -35,6 +37,21 @@ def written(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: join_spread() takes keys with one part in so many of all rows, or more, apart: there are so many such keys at most.
+HOT = 1000
+
+
+def join_spread(rows: DataFrame, side: DataFrame, on: list[str], total: int, count: str = "n") -> DataFrame:
+    """rows joined with side, which has one row for each key with the number of its rows in `count`.
+
+    Keys that hold a thousandth of all rows are a thousand at most, and are joined by a broadcast; no key of the rest is large.
+    """
+    hot = F.col(count) * HOT >= total
+    wide = F.broadcast(side.where(hot).drop(count))
+    rest = rows.join(wide.select(*on), on, "left_anti").join(side.where(~hot).drop(count), on)
+    return rows.join(wide, on).unionByName(rest)
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

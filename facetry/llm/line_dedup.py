@@ -18,13 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from facetry.llm.common import text_or_empty, written
+from facetry.llm.common import join_spread, text_or_empty, written
 
 #: The characters [\\x20\\x09-\\x0D], stripped at both ends.
 BLANKS = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Lines that hold one part in so many of all rows are joined apart, so there are so many keys of them at most.
-_HOT = 1000
 
 
 def ascii_lower(c: Column) -> Column:
@@ -46,10 +44,7 @@ def dedup_lines(docs: DataFrame, *, min_chars: int = 20, min_docs: int = 3, id_c
     lines = written(keyed.select("_id", "_th", "_pos", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit("line"), "_key").alias("_h2")), "lines")
     counted = lines.groupBy("_h1", "_h2", "_id").agg(F.count(F.lit(1)).alias("_n")).groupBy("_h1", "_h2")
     found = written(counted.agg(F.count(F.lit(1)).alias("_docs"), F.sum("_n").alias("_rows"), F.max("_id").alias("_last")).where(F.col("_docs") >= min_docs), "found")
-    hot = F.col("_rows") * _HOT >= lines.count()
-    wide = F.broadcast(found.where(hot).select("_h1", "_h2", "_last"))
-    rest = lines.join(wide.drop("_last"), ["_h1", "_h2"], "left_anti").join(found.where(~hot).select("_h1", "_h2", "_last"), ["_h1", "_h2"])
-    drops = lines.join(wide, ["_h1", "_h2"]).unionByName(rest).where(F.col("_id") != F.col("_last"))
+    drops = join_spread(lines, found.select("_h1", "_h2", "_rows", "_last"), ["_h1", "_h2"], lines.count(), "_rows").where(F.col("_id") != F.col("_last"))
     gone = drops.groupBy("_id", "_th").agg(F.array_distinct(F.collect_list("_pos")).alias("_gone")).withColumnsRenamed({"_id": "_gid", "_th": "_gth"})
     keyed_docs = base.withColumns({"_id": ident, "_th": F.xxhash64(text)})
     joined = keyed_docs.join(gone, (F.col("_id") == F.col("_gid")) & (F.col("_th") == F.col("_gth")), "left")

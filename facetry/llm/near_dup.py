@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facetry.llm.common import written
+from facetry.llm.common import join_spread, written
 from facetry.operators.graph import connected_components
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -201,6 +201,18 @@ def _edges_in(keys: np.ndarray, fps: np.ndarray, radius: int) -> list[tuple[np.n
     return out
 
 
+def _split_large(keyed: DataFrame, radius: int) -> DataFrame:
+    """Keys with more than _LARGE rows are cut by the pigeonhole principle into radius + 1 keys for each row, over all 64 bits."""
+    large = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > _LARGE), "large")
+    many = large.count()  # at most one in _LARGE rows
+    if not many:
+        return keyed
+    side = F.broadcast(large.select("key")) if many < 100_000 else large.select("key")
+    cuts = [64 * i // (radius + 1) for i in range(radius + 2)]
+    parts = [F.xxhash64("key", F.lit(i), F.shiftrightunsigned("fp", cuts[i]).bitwiseAND(F.lit((1 << (cuts[i + 1] - cuts[i])) - 1))) for i in range(radius + 1)]
+    return keyed.join(side, "key", "left_anti").unionByName(keyed.join(side, "key").select(F.explode(F.array(*parts)).alias("key"), "fp"))
+
+
 def links(distinct: DataFrame, radius: int = 3, parts: int = 2) -> DataFrame:
     """Edges (a, b) of fingerprints within the radius, as many as it takes to connect what is connected."""
     n, both = bit_statistics(distinct)
@@ -231,6 +243,7 @@ def links(distinct: DataFrame, radius: int = 3, parts: int = 2) -> DataFrame:
         if held_k:
             yield from out(np.concatenate(held_k), np.concatenate(held_f))
 
+    keyed = _split_large(keyed, radius)
     count = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return keyed.repartition(count, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
@@ -238,10 +251,9 @@ def links(distinct: DataFrame, radius: int = 3, parts: int = 2) -> DataFrame:
 def components(docs: DataFrame, *, words: int = 3, radius: int = 3, parts: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp, component_id: the smallest id that links of at most `radius` differing bits reach."""
     prints = written(fingerprints(docs, words=words, id_col=id_col, text_col=text_col), "prints")
-    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
+    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")), "distinct")
     found = connected_components(links(distinct, radius, parts), "a", "b")
-    placed = distinct.join(found, F.col("fp") == F.col("node"), "left").select("fp", "first_id", F.coalesce("component", "fp").alias("c"))
-    placed = written(placed, "placed")
-    ids = placed.groupBy("c").agg(F.min("first_id").alias("component_id"))
-    named = written(placed.join(ids, "c").select("fp", "component_id"), "named")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    placed = written(distinct.join(found, F.col("fp") == F.col("node"), "left").select("fp", "first_id", "n", F.coalesce("component", "fp").alias("c")), "placed")
+    ids = written(placed.groupBy("c").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("m")), "ids")
+    named = written(join_spread(placed, ids, ["c"], placed.count(), "m").select("fp", "n", "component_id"), "named")
+    return join_spread(prints, named, ["fp"], prints.count()).select("doc_id", "fp", "component_id")

@@ -163,12 +163,41 @@ def test_near_copies_edges(spark):
     assert near_copies.keep_one(docs(spark, [])).count() == 0
 
 
+def test_one_id_on_two_texts(spark):
+    rng = random.Random(12)
+    a, b, c = (words(rng, 80, 5000) for _ in range(3))
+    got = near_copies.keep_one(docs(spark, [a, a + " end", b, c, c, b + " end"], [1, 9, 9, 4, 4, 2])).collect()
+    # the copies of a and b under the larger id go, and one of two equal rows
+    assert sorted((r.doc_id, r.text) for r in got) == sorted([(1, a), (2, b + " end"), (4, c)])
+    other = near_copies.keep_one(docs(spark, [a, a + " end", b], [1, 9, 9])).collect()
+    assert sorted((r.doc_id, r.text) for r in other) == sorted([(1, a), (9, b)])
+
+
+def test_large_keys_are_split(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "_LARGE", 20)
+    rng = random.Random(13)
+    base = rng.getrandbits(64)
+    fps = sorted({base ^ sum(1 << x for x in rng.sample(range(64), rng.randint(0, 6))) for _ in range(300)})
+    sign = [x - 2**64 if x >> 63 else x for x in fps]
+    lead = {x: x for x in sign}
+
+    def find(x):
+        while lead[x] != x:
+            x = lead[x]
+        return x
+
+    for r in near_dup.links(spark.createDataFrame([(x,) for x in sign], "fp long")).collect():
+        a, b = find(r.a), find(r.b)
+        lead[max(a, b)] = min(a, b)
+    assert {x: find(x) for x in sign} == components_of(sign, fps)
+
+
 def test_large_groups_meet_in_blocks(spark):
     from pyspark.sql import functions as F
 
     rng = random.Random(8)
-    rows = spark.createDataFrame([(1, 50, i) for i in range(50)] + [(2, 7, 100 + i) for i in range(7)], "key long, n long, first_id long")
-    got = near_copies.block_groups(rows, 10).groupBy("key").agg(F.collect_list("first_id").alias("ids")).collect()
+    rows = spark.createDataFrame([(1, 50, i) for i in range(50)] + [(2, 7, 100 + i) for i in range(7)], "key long, n long, node long")
+    got = near_copies.block_groups(rows, 10).groupBy("key").agg(F.collect_list("node").alias("ids")).collect()
     assert max(len(set(r.ids)) for r in got) < 20
     assert {(a, b) for r in got for a in r.ids for b in r.ids if a < b} == {(a, b) for x in (range(50), range(100, 107)) for a in x for b in x if a < b}
     base = words(rng, 300, 5000)
