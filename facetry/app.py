@@ -1,4 +1,4 @@
-"""Commands: whole-cloud (the default), roi, validate, roi-compare, crop-roi, sample-mesh."""
+"""Commands: whole (the default), roi, validate, roi-compare, crop-roi, sample-mesh."""
 
 from __future__ import annotations
 
@@ -19,24 +19,21 @@ from facetry.plans import analysis
 from facetry.sources import files
 from facetry.sources.las import read_header, read_las, write_las
 
-COMMANDS = ("whole-cloud", "roi", "validate", "roi-compare", "crop-roi", "sample-mesh")
+DEFAULT = "whole"
+COMMANDS = (DEFAULT, "roi", "validate", "roi-compare", "crop-roi", "sample-mesh")
 
 
 def session() -> SparkSession:
     return SparkSession.builder.appName("facetry").config("spark.sql.adaptive.enabled", "true").getOrCreate()
 
 
-def choose(argv: Sequence[str]) -> tuple[str, list[str]]:
-    """The command may stand first, or as --mode X or --mode=X anywhere; whole-cloud otherwise."""
-    rest = list(argv)
-    if rest and rest[0] in COMMANDS:
-        return rest[0], rest[1:]
-    for i, a in enumerate(rest):
-        if a == "--mode" and i + 1 < len(rest):
-            return rest[i + 1], rest[:i] + rest[i + 2 :]
-        if a.startswith("--mode="):
-            return a[7:], rest[:i] + rest[i + 1 :]
-    return "whole-cloud", rest
+def chosen(argv: Sequence[str]) -> tuple[str, list[str]]:
+    """The command, which is the first argument or the value of --mode, and the rest. A longer name that begins with "whole" is that command."""
+    modes = argparse.ArgumentParser(add_help=False, allow_abbrev=False)
+    modes.add_argument("--mode", default=DEFAULT)
+    named = bool(argv) and (argv[0] in COMMANDS or argv[0].startswith(DEFAULT + "-"))
+    given, rest = modes.parse_known_args(["--mode", *argv] if named else list(argv))
+    return DEFAULT if given.mode.startswith(DEFAULT) else given.mode, rest
 
 
 def load_points(spark: SparkSession, path: str) -> DataFrame:
@@ -51,7 +48,7 @@ def _parser(command: str) -> argparse.ArgumentParser:
     p.add_argument("--input", required=True)
     p.add_argument("--output", required=True)
     p.add_argument("--config")
-    if command == "whole-cloud":
+    if command == DEFAULT:
         p.add_argument("--tile-size", type=float)
         p.add_argument("--overlap", type=float)
         for flag in ("--resume", "--prepare-only", "--keep-source-tiles", "--plan-only"):
@@ -153,7 +150,10 @@ def run_whole(a: argparse.Namespace) -> int:
     if os.path.exists(rows_path):
         out = analysis.aggregate_global(spark.read.parquet(rows_path), cfg, tile_size=size, overlap=over)
         files.write_table(out["planes"].withColumns({f"centroid_{c}": F.col(f"center_{c}") for c in "xyz"}), os.path.join(a.output, "joint_planes.csv"), schemas.GLOBAL_PLANE, one_file=True)
-        files.write_table(out["instances"], os.path.join(a.output, "plane_instances.csv"), schemas.TILE_PLANE, one_file=True)
+        shown = out["instances"]
+        if cfg.get("export", {}).get("selected_only", True):
+            shown = shown.join(out["planes"].select("global_plane_id"), "global_plane_id", "left_semi")
+        files.write_table(shown, os.path.join(a.output, "plane_instances.csv"), schemas.TILE_PLANE, one_file=True)
         files.write_table(out["joint_sets"], os.path.join(a.output, "joint_sets.csv"), schemas.JOINT_SET, one_file=True)
         gaps = out["spacings"].withColumns({"global_plane_id_a": F.col("plane_id_a"), "global_plane_id_b": F.col("plane_id_b"), "tile_id": F.lit("merged")})
         files.write_table(gaps, os.path.join(a.output, "spacings.csv"), schemas.SPACING_GLOBAL, one_file=True)
@@ -242,10 +242,10 @@ def main(argv: Sequence[str] | None = None) -> int:
     if argv and argv[0] in ("-h", "--help"):
         print(__doc__)
         return 0
-    command, rest = choose(argv)
+    command, rest = chosen(argv)
     if command not in COMMANDS:
         raise SystemExit(f"unknown command {command}; one of {', '.join(COMMANDS)}")
-    run = {"whole-cloud": run_whole, "roi": run_roi, "validate": run_validate, "roi-compare": run_compare, "crop-roi": run_crop, "sample-mesh": run_mesh}[command]
+    run = {DEFAULT: run_whole, "roi": run_roi, "validate": run_validate, "roi-compare": run_compare, "crop-roi": run_crop, "sample-mesh": run_mesh}[command]
     return run(_parser(command).parse_args(rest))
 
 

@@ -35,4 +35,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", *
 def _ensure_checkpoint_dir(spark) -> None:
     jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/facetry-shared")
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(named or "/tmp/facetry-shared")

@@ -60,16 +60,21 @@ def knn_within(points: DataFrame, k: int, radius: float, key: str, *, on: tuple[
     return k_smallest(pairs, k, key + "_a", [F.col("d2"), F.col(key + "_b")]).select(key + "_a", key + "_b", "d2", "rank")
 
 
-def knn(points: DataFrame, k: int, key: str, *, start: float, on: tuple[str, ...] = ("x", "y", "z"), grow: float = 2.0, most_rounds: int = 40) -> DataFrame:
+def knn(points: DataFrame, k: int, key: str, *, start: float, on: tuple[str, ...] = ("x", "y", "z"), by: str | None = None, grow: float = 2.0, most_rounds: int = 40) -> DataFrame:
     """The k nearest rows at any distance (itself included): rounds of growing radius, in which only the rows without k
-    neighbours so far look again. Exact: a row is done when k rows lie within the radius of its round."""
-    n = points.count()
-    k = min(k, n)
-    todo, radius, parts = points.select(key, *on), start, []
+    neighbours so far look again. Exact: a row is done when k rows lie within the radius of its round. With `by`, rows meet
+    only those that are equal in that column, and a group of fewer than k rows is done when all have met."""
+    if by:
+        sizes = points.groupBy(by).agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("_wanted"))
+        rows = points.select(key, *on, by).join(sizes, by).checkpoint()
+    else:
+        rows = points.select(key, *on, F.lit(min(k, points.count())).cast("long").alias("_wanted"))
+    todo, radius, parts = rows, start, []
     for _ in range(most_rounds):
-        near = radius_join(todo, points.select(key, *on), radius, on=on)
-        ranked = k_smallest(near, k, key + "_a", [F.col("d2"), F.col(key + "_b")]).select(key + "_a", key + "_b", "d2", "rank").checkpoint()
-        done = ranked.groupBy(key + "_a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k).select(F.col(key + "_a").alias(key))
+        near = radius_join(todo, rows.drop("_wanted"), radius, on=on, by=by)
+        ranked = k_smallest(near, k, key + "_a", [F.col("d2"), F.col(key + "_b")]).select(key + "_a", key + "_b", "d2", "rank", "_wanted_a").checkpoint()
+        done = ranked.groupBy(key + "_a").agg(F.count(F.lit(1)).alias("n"), F.max("_wanted_a").alias("w")).where("n >= w").select(F.col(key + "_a").alias(key))
+        ranked = ranked.drop("_wanted_a")
         parts.append(ranked.join(done.withColumnRenamed(key, key + "_a"), key + "_a", "left_semi"))
         todo = todo.join(done, key, "left_anti").checkpoint()
         if todo.isEmpty():
@@ -92,7 +97,7 @@ def axial_join(normals: DataFrame, angle_deg: float, key: str) -> DataFrame:
     Every axis is also entered turned round; two axes within the angle have ends within the chord 2 sin(angle / 2).
     """
     chord = 2 * sin(radians(min(angle_deg, 90.0)) / 2) * (1 + 1e-9) + 1e-9
-    ends = normals.select(key, "nx", "ny", "nz")
+    ends = normals.select(key, "nx", "ny", "nz").checkpoint()  # else the axes' expressions go into each of the 27 cells' code
     turned = ends.select(key, *[(-F.col(c)).alias(c) for c in ("nx", "ny", "nz")])
     pairs = radius_join(ends, ends.unionByName(turned), chord, on=("nx", "ny", "nz")).where(F.col(key + "_a") < F.col(key + "_b"))
     angle = axial_angle(tuple(F.col(c + "_a") for c in ("nx", "ny", "nz")), tuple(F.col(c + "_b") for c in ("nx", "ny", "nz")))

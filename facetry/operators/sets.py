@@ -127,12 +127,24 @@ def bbox_gap(suffixes: tuple[str, str] = ("_a", "_b")) -> Column:
     return F.sqrt(total)
 
 
+def xy_bounds(with_footprint: bool) -> list[Column]:
+    """x0, x1, y0, y1 of a plane row: its box, and where its footprint reaches beyond."""
+    def along(i: int) -> Column:
+        return F.transform(F.flatten("footprint"), lambda q: F.get(q, F.lit(i)).cast("double"))
+
+    out = []
+    for i, c in enumerate("xy"):
+        at = along(i) if with_footprint else F.lit(None).cast("array<double>")
+        out += [F.least(F.col(f"bbox_min_{c}"), F.array_min(at)).alias(f"{c}0"), F.greatest(F.col(f"bbox_max_{c}"), F.array_max(at)).alias(f"{c}1")]
+    return out
+
+
 def merge_candidates(planes: DataFrame, *, key: str, gap_m: float, angle_deg: float, offset_m: float, max_rms: float | None, cell: float, footprint_gap: Column | None = None, centroids: bool = False, neighbours_only: bool = True) -> DataFrame:
     """Pairs of plane rows whose boxes come near, with the first reason that refuses them or 'accepted'.
 
     neighbours_only: planes of neighbouring tiles, not of the same one.
     """
-    boxes = planes.select(key, F.col("bbox_min_x").alias("x0"), F.col("bbox_max_x").alias("x1"), F.col("bbox_min_y").alias("y0"), F.col("bbox_max_y").alias("y1"))
+    boxes = planes.select(key, *xy_bounds("footprint" in planes.columns))
     pairs = box_gap_join(boxes, gap_m, key, cell=cell)
     a, b = (planes.select([F.col(c).alias(c + s) for c in planes.columns]) for s in ("_a", "_b"))
     j = pairs.join(a, key + "_a").join(b, key + "_b")

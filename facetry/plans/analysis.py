@@ -114,26 +114,30 @@ def _merged_regions(fits: DataFrame, members: DataFrame, cfg: Mapping[str, Any])
     return rows.groupBy("tile_id").applyInPandas(body, "tile_id string, region string, merged string")
 
 
-def process(pts: DataFrame, config: Mapping[str, Any] | None = None, *, bounds: tuple[float, float, float, float] | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def tile_edges(pts: DataFrame) -> DataFrame:
+    """tile_id and the extent of its points as edges (x0, x1, y0, y1)."""
+    return pts.groupBy("tile_id").agg(F.array(F.min("x"), F.max("x"), F.min("y"), F.max("y")).alias("edges"))
+
+
+def process(pts: DataFrame, config: Mapping[str, Any] | None = None, *, bounds: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Planes of each tile. pts: tile_id, point_id, x, y, z. Returns instances, merged planes, rejected, members.
 
     Voxel, outlier and neighbourhood steps are plain joins and aggregates; growing, fitting and merging run per tile.
+    bounds: tile_id and edges (x0, x1, y0, y1) of the tiles' sources, where these were more than pts.
     """
     cfg = config or load()
     _ensure_checkpoint_dir(pts.sparkSession)
-    if bounds is None:
-        b = pts.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
-        bounds = tuple(float(v) for v in b)
+    bounds = tile_edges(pts) if bounds is None else bounds
     feat = _features(pts.select("tile_id", "point_id", "x", "y", "z"), cfg)
     f = cfg["feature"]
     cand = P.planar_candidates(feat, min_planarity=f["min_planarity"], max_surface_variation=f["max_surface_variation"], min_neighbors=cfg["normal"]["min_neighbors"]).join(pts.select("tile_id", "point_id", "x", "y", "z"), "point_id").checkpoint()
-    members = cand.join(_segments(cand, cfg), ["tile_id", "point_id"]).checkpoint()
+    members = cand.join(_segments(cand, cfg), ["tile_id", "point_id"]).join(bounds, "tile_id").checkpoint()
     stats = members.groupBy("tile_id", "region").agg(F.percentile("normal_stability_deg", 0.9).alias("normal_stability_deg"), F.percentile("normal_scale_m", 0.5).alias("normal_scale_m"), F.avg(F.col("normal_stable").cast("int")).alias("normal_stable_fraction"), F.avg(F.col("normal_valid_scale_count") if "normal_valid_scale_count" in members.columns else F.lit(1)).alias("normal_valid_scale_count"))
-    fits = _scored(grouped.fit_regions(members, bounds, cfg, by=["tile_id", "region"]), cfg).join(stats, ["tile_id", "region"]).withColumn("normal_stable", F.col("normal_stable_fraction") >= 0.5).checkpoint()
+    fits = _scored(grouped.fit_regions(members, cfg, by=["tile_id", "region"]), cfg).join(stats, ["tile_id", "region"]).withColumn("normal_stable", F.col("normal_stable_fraction") >= 0.5).checkpoint()
     rejected = fits.where("reason is not null").select("tile_id", F.col("region").alias("raw_set_label"), F.col("candidate_point_count").alias("point_count"), "reason")
     merged = _merged_regions(fits, members, cfg).checkpoint()
     joined = members.join(merged, ["tile_id", "region"]).withColumn("region", F.col("merged")).drop("merged")
-    refit = _scored(grouped.fit_regions(joined, bounds, cfg, by=["tile_id", "region"]), cfg)
+    refit = _scored(grouped.fit_regions(joined, cfg, by=["tile_id", "region"]), cfg)
     # a joint plane that the gates refuse falls back to its parts
     bad = refit.where("reason is not null").select("tile_id", F.col("region").alias("merged"))
     back = merged.join(bad, ["tile_id", "merged"], "left_semi")
@@ -141,7 +145,7 @@ def process(pts: DataFrame, config: Mapping[str, Any] | None = None, *, bounds:
     final = good.unionByName(back.withColumn("merged", F.col("region"))).checkpoint()
     joined = members.join(final, ["tile_id", "region"]).withColumn("region", F.col("merged")).drop("merged").checkpoint()
     st = joined.groupBy("tile_id", "region").agg(F.percentile("normal_stability_deg", 0.9).alias("normal_stability_deg"), F.percentile("normal_scale_m", 0.5).alias("normal_scale_m"), F.avg(F.col("normal_stable").cast("int")).alias("normal_stable_fraction"), F.avg(F.col("normal_valid_scale_count") if "normal_valid_scale_count" in joined.columns else F.lit(1)).alias("normal_valid_scale_count"))
-    planes = _scored(grouped.fit_regions(joined, bounds, cfg, by=["tile_id", "region"]), cfg).join(st, ["tile_id", "region"]).withColumn("normal_stable", F.col("normal_stable_fraction") >= 0.5).checkpoint()
+    planes = _scored(grouped.fit_regions(joined, cfg, by=["tile_id", "region"]), cfg).join(st, ["tile_id", "region"]).withColumn("normal_stable", F.col("normal_stable_fraction") >= 0.5).checkpoint()
     return fits.where("reason is null"), planes.where("fitted"), rejected, joined.select("tile_id", "point_id", "region", "x", "y", "z")
 
 
@@ -208,12 +212,17 @@ def analyse_tiles(pts: DataFrame, config: Mapping[str, Any] | None = None, *, ti
     spread = tiling.halo(pts.where(P.finite()).select("x", "y", "z"), g)
     if only is not None:
         spread = spread.join(only.select("tile_id"), "tile_id", "left_semi")
+    spread = spread.checkpoint()
+    bounds = tile_edges(spread).checkpoint()
     if pre["voxel_size"] > 0:
         v = pre["voxel_size"]
         spread = spread.groupBy("tile_id", "ix", "iy", *[F.floor(F.col(c) / v).alias("k" + c) for c in "xyz"]).agg(*[F.avg(c).alias(c) for c in "xyz"])
     ix, iy = tiling.owner(g)
-    spread = spread.withColumns({"point_id": F.xxhash64("tile_id", "x", "y", "z"), "core": (ix == F.col("ix")) & (iy == F.col("iy"))}).checkpoint()
-    _, planes, _, members = process(spread.select("tile_id", "point_id", "x", "y", "z"), cfg)
+    # equal points of a tile are one point, so that an id names one row
+    spread = spread.dropDuplicates(["tile_id", "x", "y", "z"]).withColumns({"point_id": F.xxhash64("tile_id", "x", "y", "z"), "core": (ix == F.col("ix")) & (iy == F.col("iy"))}).checkpoint()
+    if pre.get("remove_outliers", True):
+        spread = P.statistical_inliers(spread, pre["outlier_k"], pre["outlier_ratio"], start=max(pre["voxel_size"], 0.01) * 4, by="tile_id").drop("mean_distance").checkpoint()
+    _, planes, _, members = process(spread.select("tile_id", "point_id", "x", "y", "z"), cfg, bounds=bounds)
     return _core_rows(planes, members, spread, cfg), g
 
 
@@ -231,7 +240,7 @@ def aggregate_global(rows: DataFrame, config: Mapping[str, Any] | None = None, *
     """
     cfg = config or load()
     _ensure_checkpoint_dir(rows.sparkSession)
-    w = cfg["whole_cloud"]
+    w = cfg["whole"]
     ix, iy = tiling.tile_indices(F.col("tile_id"))
     rows = ranked(rows.withColumns({"ix": ix, "iy": iy}), [F.asc("tile_id"), F.asc("row_id")], "seq").checkpoint()
     gap = max(w["merge_xy_gap_m"], 2 * overlap)

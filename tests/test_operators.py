@@ -9,14 +9,14 @@ from facetry.operators import clusters, joins, order, points as P, sets
 
 
 @pytest.fixture(scope="module")
-def cloud(spark):
+def scan(spark):
     rng = np.random.default_rng(3)
     p = np.round(rng.random((150, 3)) * 3, 3)
     return p, spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(p)], "point_id long, x double, y double, z double")
 
 
-def test_radius_and_knn(spark, cloud):
-    p, df = cloud
+def test_radius_and_knn(spark, scan):
+    p, df = scan
     d2 = ((p[:, None] - p[None]) ** 2).sum(-1)
     got = {(r.point_id_a, r.point_id_b) for r in joins.self_radius_pairs(df, 0.5, "point_id").collect()}
     assert got == {(i, j) for i in range(150) for j in range(i + 1, 150) if d2[i, j] <= 0.25}
@@ -50,8 +50,8 @@ def test_boxes(spark):
     assert len(rows) == len(set(rows)) and set(rows) == want
 
 
-def test_dbscan(spark, cloud):
-    p, df = cloud
+def test_dbscan(spark, scan):
+    p, df = scan
     d2 = ((p[:, None] - p[None]) ** 2).sum(-1)
     near = d2 <= 0.4**2
     core = near.sum(1) >= 4

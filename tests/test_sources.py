@@ -12,21 +12,21 @@ from facetry.streaming import tiles
 
 
 @pytest.fixture()
-def cloud(spark):
+def scan(spark):
     rng = np.random.default_rng(1)
     rows = [(float(1000 + 10 * a), float(2000 + 10 * b), float(3000 + c), int(100 * a), i % 30, i % 7, 100, 200, 300) for i, (a, b, c) in enumerate(rng.random((1000, 3)))]
     return spark.createDataFrame(rows, las.SCHEMA)
 
 
-def test_las_round_trip(spark, cloud, tmp_path):
+def test_las_round_trip(spark, scan, tmp_path):
     path = str(tmp_path / "out.las")
-    info = las.write_las(cloud.repartition(3), path)
+    info = las.write_las(scan.repartition(3), path)
     assert info["points"] == 1000 and info["max_abs_error_m"] <= 0.000501
     back = las.read_las(spark, path, recordsPerPartition=100)
     assert back.rdd.getNumPartitions() >= 10
-    a, b = (d.orderBy("x", "y").select(F.round("x", 3).alias("x"), "intensity", "classification", "point_source_id", "red").collect() for d in (cloud, back))
+    a, b = (d.orderBy("x", "y").select(F.round("x", 3).alias("x"), "intensity", "classification", "point_source_id", "red").collect() for d in (scan, back))
     assert sorted(r.intensity for r in a) == sorted(r.intensity for r in b) and {r.red for r in b} == {100}
-    assert back.where("x >= 1005 and y < 2003").count() == cloud.where("round(x, 3) >= 1005 and round(y, 3) < 2003").count()
+    assert back.where("x >= 1005 and y < 2003").count() == scan.where("round(x, 3) >= 1005 and round(y, 3) < 2003").count()
     h = las.read_header(os.path.join(path, os.listdir(path)[0]))
     assert h.version == (1, 4) and not las.is_copc(h.path)
     open(tmp_path / "bad.las", "wb").write(b"nothing")
@@ -92,5 +92,5 @@ def test_streaming_crop_goes_on(spark, tmp_path):
 
 
 def test_commands_are_chosen():
-    assert app.choose(["roi", "--x"]) == ("roi", ["--x"]) and app.choose(["--mode", "validate", "d"]) == ("validate", ["d"])
-    assert app.choose(["--mode=crop-roi"]) == ("crop-roi", []) and app.choose(["--input", "a"]) == ("whole-cloud", ["--input", "a"])
+    assert app.chosen(["roi", "--x"]) == ("roi", ["--x"]) and app.chosen(["--mode", "validate", "d"]) == ("validate", ["d"])
+    assert app.chosen(["--mode=crop-roi"]) == ("crop-roi", []) and app.chosen(["--input", "a"]) == ("whole", ["--input", "a"])
