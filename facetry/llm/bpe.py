@@ -39,7 +39,7 @@ from facetry.llm.common import written
 
 #: Bounds of a worker's memory, not of the result: entries in each of the two generations of the memo, characters of the
 #: longest chunk that is kept there, chunks that are learnt at once, and bytes of words that are merged at once.
-MEMO, KEPT, AT_ONCE, _BLOCK = 180_000, 48, 60_000, 120_000
+MEMO, KEPT, AT_ONCE, _BLOCK = 120_000, 48, 60_000, 120_000
 #: Bytes of text that are cut and looked up at once.
 SLICE = 4 << 20
 #: Stands between chunks that are cut into words together; chunks that hold it are cut alone.
@@ -516,12 +516,17 @@ def encoder(blob: bytes) -> Encoder:
     return _ENCODERS[key]
 
 
-def slices(column: pa.Array) -> Iterator[pa.Array]:
-    """A column of texts, at most SLICE bytes or one row at a time; nulls are empty texts."""
+def release() -> None:
+    """Give up the worker's encoder, for tasks that need the memory for something else."""
+    _ENCODERS.clear()
+
+
+def slices(column: pa.Array, most: int = SLICE) -> Iterator[pa.Array]:
+    """A column of texts, at most so many bytes or one row at a time; nulls are empty texts."""
     size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64).cumsum()
     at = 0
     while at < len(column):
-        to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + SLICE, "right")))
+        to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most, "right")))
         yield pc.fill_null(column.slice(at, to - at), "")
         at = to
 

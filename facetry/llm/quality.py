@@ -26,19 +26,20 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from facetry.llm.bpe import Memo, slices
+from facetry.llm.bpe import Memo, release, slices
 from facetry.llm.common import written
 
 _TOKENS = re.compile(r"[^\W_]+|[^\w\s]+|_+").findall
 #: Bounds of a worker's memory: chunks in each generation of the memo, and characters of the longest chunk in it.
-_MEMO, _KEPT = 150_000, 48
+_MEMO, _KEPT = 80_000, 48
+#: Bytes of text worked on at once.
+_SLICE = 2 << 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -97,11 +98,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, buckets: int = 1 << 14, fit_rows:
     sent = docs.sparkSession.sparkContext.broadcast(target)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         grams, good = Grams(buckets), sent.value
         raw, tgt = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for b in batches:
             at = 0
-            for texts in slices(b.column(1)):
+            for texts in slices(b.column(1), _SLICE):
                 g, row = grams.of(texts)
                 raw += np.bincount(g, minlength=buckets)
                 mine = np.array([i in good for i in b.column(0).slice(at, len(texts)).to_pylist()])
@@ -125,17 +127,18 @@ def scores(docs: DataFrame, model: Model, text: Column) -> Column:
     """A struct of the log ratio of the models for the text, and the number of its n-grams."""
     sent = docs.sparkSession.sparkContext.broadcast(model.log_ratio)
 
-    @F.pandas_udf("struct<log_ratio: double, n: long>")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<log_ratio: double, n: long>")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         ratio = sent.value
         grams = Grams(len(ratio))
         for texts in batches:
-            out = []
-            for part in slices(pa.array(texts, pa.string(), from_pandas=True)):
+            total, count = [np.zeros(0)], [np.zeros(0, np.int64)]
+            for part in slices(texts, _SLICE):
                 g, row = grams.of(part)
-                out.append((np.bincount(row, ratio[g], len(part)), np.bincount(row, minlength=len(part))))
-            total, n = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0), np.zeros(0, np.int64))
-            yield pd.DataFrame({"log_ratio": total, "n": n})
+                total.append(np.bincount(row, ratio[g], len(part)))
+                count.append(np.bincount(row, minlength=len(part)))
+            yield pa.StructArray.from_arrays([pa.array(np.concatenate(total)), pa.array(np.concatenate(count), pa.int64())], ["log_ratio", "n"])
 
     return score(text.cast("string"))
 
