@@ -37,6 +37,9 @@ def radius_join(left: DataFrame, right: DataFrame, radius: float, *, on: tuple[s
     keys = [f"_c{i}" for i in range(len(on))]
     a = a.withColumns(dict(zip(keys, _cells(na, radius))))
     b = b.withColumn("_g", F.explode(_offsets(len(on)))).withColumns({k: c + F.col(f"_g.d{i}") for i, (k, c) in enumerate(zip(keys, _cells(nb, radius)))}).drop("_g")
+    # of the 27 cells about 21 come within the radius, the others are not shuffled
+    away = [F.greatest(F.col(k) * radius - F.col(n), F.col(n) - (F.col(k) + 1) * radius, F.lit(0.0)) for k, n in zip(keys, nb)]
+    b = b.where(reduce(lambda s, t: s + t, [d * d for d in away]) <= radius * radius * (1 + 1e-6))
     if by:
         keys.append("_by")
         a, b = a.withColumn("_by", F.col(by + suffixes[0])), b.withColumn("_by", F.col(by + suffixes[1]))

@@ -88,7 +88,9 @@ def joint_sets(planes: DataFrame, *, group: str = "set_id", key: str = "plane_id
 
 def axial_components(normals: DataFrame, angle_deg: float, key: str) -> DataFrame:
     """key and component (its smallest key): axes that chains of at most angle_deg connect. Equal axes are joined once."""
-    u = normals.select(key, *[c.alias(n) for c, n in zip(unit(vec()), _N)]).where("nx is not null").checkpoint()
+    # cut in two: unit() names each component often, and so would any expressions that they come from
+    given = normals.select(key, *_N).checkpoint()
+    u = given.select(key, *[c.alias(n) for c, n in zip(unit(vec()), _N)]).where("nx is not null").checkpoint()
     flip = F.when((F.col("nz") < 0) | ((F.col("nz") == 0) & ((F.col("ny") < 0) | ((F.col("ny") == 0) & (F.col("nx") < 0)))), -1.0).otherwise(1.0)
     u = u.select(key, *[F.round(F.col(c) * flip + 0.0, 12).alias(c) for c in _N])
     one = u.groupBy(*_N).agg(F.min(key).alias("_rep")).checkpoint()
