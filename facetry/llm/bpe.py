@@ -323,14 +323,14 @@ class Memo:
 class Encoder:
     """Encodes texts and decodes ids; what the blob holds is memory-mapped."""
 
-    def __init__(self, blob: bytes):
+    def __init__(self, blob: bytes, memo: int = MEMO):
         arrays, meta = _mapped(blob)
         self.merger = Merger(IntMap(arrays["pair_keys"], arrays["pair_values"]), arrays["made"], arrays["inner"], arrays["last"], meta["size"])
         self.lexicon = Lexicon(arrays) if meta["lexicon"] else None
         self.special = {k: int(v).to_bytes(4, "little") for k, v in meta["special"].items()}
         self.tokens = pa.array([t.encode() for t in meta["tokens"]], pa.binary())
         self.pieces = Pieces(meta["pattern"], list(self.special))
-        self.chunks, self.words = Memo(MEMO), Memo(MEMO // 2)
+        self.chunks, self.words = Memo(memo), Memo(memo // 2)
 
     def word_ids(self, words: set[str]) -> dict[str, bytes]:
         """The ids of each word: by the memo, by the lexicon, and by merging what isn't there."""
@@ -397,29 +397,22 @@ class Encoder:
         chunks = self.pieces.split(texts)
         rows = chunks.offsets.to_numpy().astype(np.int64)
         coded = chunks.flatten().dictionary_encode()
-        which, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        ids = self.ids_of(distinct)
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
-        start = np.cumsum(size) - size
-        n = size[which]
-        end = np.cumsum(n)
-        out = flat[np.repeat(start[which] - end + n, n) + np.arange(end[-1] if len(end) else 0)]
-        return out, np.concatenate([[0], end])[rows[1:] - rows[0]]
+        taken = pa.array(self.ids_of(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        _, offsets, data = taken.buffers()
+        end = np.frombuffer(offsets, "<i8", len(taken) + 1) >> 2 if len(taken) else np.zeros(1, np.int64)
+        ids = np.frombuffer(data, "<u4", int(end[-1])) if end[-1] else np.zeros(0, "<u4")
+        return ids, end[rows[1:] - rows[0]]
 
     def ids_of(self, distinct: list[str]) -> list[bytes]:
         """The ids of distinct chunks: by the memo, and by learning what it lacks."""
         young, old = self.chunks.young, self.chunks.old
-        none = None
-        out = [young.get(c, none) for c in distinct]
-        new = []
-        for i, ids in enumerate(out):
-            if ids is none:
-                c = distinct[i]
-                if (ids := old.get(c, none)) is none:
-                    new.append(i)
-                else:
-                    young[c] = out[i] = ids
+        out, new = list(map(young.get, distinct)), []
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            c = distinct[i]
+            if (ids := old.get(c)) is None:
+                new.append(i)
+            else:
+                young[c] = out[i] = ids
         for at in range(0, len(new), AT_ONCE):
             part = new[at : at + AT_ONCE]
             for i, ids in zip(part, self.learn([distinct[i] for i in part])):
@@ -504,15 +497,15 @@ def compile_blob(model: dict, words: Iterable[bytes] = ()) -> bytes:
     return _pack(arrays, {"size": size, "lexicon": bool(words), "special": model["special"], "tokens": tokens, "pattern": model["pattern"]})
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(blob: bytes) -> Encoder:
+def encoder(blob: bytes, memo: int = MEMO) -> Encoder:
     """The worker's encoder for this blob; one is kept between tasks."""
-    key = hashlib.sha256(blob).hexdigest()
+    key = (hashlib.sha256(blob).hexdigest(), memo)
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(blob)
+        _ENCODERS[key] = Encoder(blob, memo)
     return _ENCODERS[key]
 
 

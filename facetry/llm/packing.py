@@ -21,16 +21,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facetry.llm.bpe import encoder, lexicon_blob
+from facetry.llm.bpe import MEMO, encoder, lexicon_blob
 from facetry.llm.common import written
 
 
-def tokenised(docs: DataFrame, blob: bytes, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def tokenised(docs: DataFrame, blob: bytes, end_id: int, id_col: str = "doc_id", text_col: str = "text", memo: int = MEMO) -> DataFrame:
     """The first pass: doc_id, ids (with the end id), n, the partition, and the start within it."""
     sent = docs.sparkSession.sparkContext.broadcast(blob)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, at = encoder(sent.value), TaskContext.get().partitionId(), 0
+        enc, part, at = encoder(sent.value, memo), TaskContext.get().partitionId(), 0
         kind = "<u2" if len(enc.tokens) <= 1 << 16 else "<u4"
         for b in batches:
             row = 0
@@ -48,10 +48,13 @@ def tokenised(docs: DataFrame, blob: bytes, end_id: int, id_col: str = "doc_id",
     return rows.mapInArrow(run, "doc_id long, ids binary, n long, part long, start_in_part long")
 
 
-def pack(docs: DataFrame, vocabulary: str, *, window: int = 4096, end_id: int = 2, lexicon_words: int = 0, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True, blob: bytes | None = None) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]: one row per piece."""
+def pack(docs: DataFrame, vocabulary: str, *, window: int = 4096, end_id: int = 2, lexicon_words: int = 0, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True, blob: bytes | None = None, memo: int = 250_000) -> DataFrame:
+    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]: one row per piece.
+
+    `memo` bounds what a worker remembers of chunks seen before (about 0.5 kB an entry): more is faster, the result is the same.
+    """
     blob = blob or lexicon_blob(docs, vocabulary, lexicon_words, text_col)
-    first = written(tokenised(docs, blob, end_id, id_col, text_col), "ids")
+    first = written(tokenised(docs, blob, end_id, id_col, text_col, memo), "ids")
     totals = {r.part: r.n for r in first.groupBy("part").agg(F.sum("n").alias("n")).collect()}  # one row per partition
     base, at = {}, 0
     for part in sorted(totals):
