@@ -397,7 +397,7 @@ class Encoder:
         chunks = self.pieces.split(texts)
         rows = chunks.offsets.to_numpy().astype(np.int64)
         coded = chunks.flatten().dictionary_encode()
-        taken = pa.array(self.ids_of(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        taken = pa.array(self.ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(coded.indices)
         _, offsets, data = taken.buffers()
         end = np.frombuffer(offsets, "<i8", len(taken) + 1) >> 2 if len(taken) else np.zeros(1, np.int64)
         ids = np.frombuffer(data, "<u4", int(end[-1])) if end[-1] else np.zeros(0, "<u4")
