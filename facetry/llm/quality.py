@@ -68,7 +68,7 @@ class Grams:
         chunks = pc.utf8_split_whitespace(texts)
         rows = chunks.offsets.to_numpy().astype(np.int64)
         coded = chunks.flatten().dictionary_encode()
-        which, hashes = coded.indices.to_numpy(), self._hashes(coded.dictionary.to_pylist())
+        which, hashes = coded.indices.to_numpy(), self._hashes(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         flat = np.frombuffer(b"".join(hashes), "<u8")
         size = np.fromiter(map(len, hashes), np.int64, len(hashes)) >> 3
         start, n = np.cumsum(size) - size, size[which]
