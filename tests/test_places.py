@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from facetry.operators import joins, places
+from facetry.operators import joins, places, points as P
 
 
 @pytest.fixture(scope="module")
@@ -46,3 +46,14 @@ def test_rows_without_a_place(spark):
     df = spark.createDataFrame(rows, "pid string, x double, y double, z double")
     assert {(r.pid_a, r.pid_b) for r in joins.knn(df, 4, "pid", start=0.2).collect()} == {(a, b) for a in "ab" for b in "ab"}
     assert joins.radius_join(df, df, 2.0).count() == 4
+
+
+def test_nn_spacing_of_copies(copies, searched):
+    _, p, df = copies
+    d2 = squares(p)
+    np.fill_diagonal(d2, np.inf)
+    d = np.sqrt(d2.min(1))
+    d = d[d > 1e-9]
+    r = P.nn_spacing(df, start=0.2).first()
+    assert r.sample_count == len(d) and np.allclose([r.p10_m, r.median_m, r.p90_m], np.quantile(d, [0.1, 0.5, 0.9]))
+    assert searched and max(searched) <= 30
