@@ -57,3 +57,12 @@ def test_nn_spacing_of_copies(copies, searched):
     r = P.nn_spacing(df, start=0.2).first()
     assert r.sample_count == len(d) and np.allclose([r.p10_m, r.median_m, r.p90_m], np.quantile(d, [0.1, 0.5, 0.9]))
     assert searched and max(searched) <= 30
+
+
+def test_inliers_of_copies(copies, searched):
+    ids, p, df = copies
+    mean = np.sqrt(np.sort(squares(p), 1)[:, 1:7]).mean(1)
+    got = {r.pid: r.mean_distance for r in P.statistical_inliers(df, 6, 1.0, key="pid", start=0.2).collect()}
+    want = {ids[i]: mean[i] for i in np.flatnonzero(mean <= mean.mean() + mean.std())}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert searched and max(searched) <= 30
