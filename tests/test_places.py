@@ -1,9 +1,11 @@
 """Rows at one place are searched once, and each still gets its own result."""
 
+import duckdb
 import numpy as np
 import pytest
 
 from facetry.operators import joins, places, points as P
+from facetry.plans import catalogue
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +25,7 @@ def searched(monkeypatch):
         seen.append(max(left.count(), right.count()))
         return real(left, right, *args, **named)
 
-    for module in (joins, places):
+    for module in (joins, places, catalogue):
         monkeypatch.setattr(module, "radius_join", noted)
     return seen
 
@@ -66,3 +68,22 @@ def test_inliers_of_copies(copies, searched):
     want = {ids[i]: mean[i] for i in np.flatnonzero(mean <= mean.mean() + mean.std())}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
     assert searched and max(searched) <= 30
+
+
+@pytest.fixture(scope="module")
+def copied_table(tmp_path_factory):
+    """Some lineitems, three times each with orders of their own."""
+    folder = str(tmp_path_factory.mktemp("copies"))
+    duckdb.execute(f"copy (select l.* replace (l_orderkey + r.range * 1000000 as l_orderkey) from '/root/testdata/sf0.001/lineitem.parquet' l, range(3) r where l_quantity <= 5) to '{folder}/lineitem.parquet' (format parquet)")
+    return folder
+
+
+@pytest.mark.parametrize("name", ["knn_topk"])
+def test_queries_on_copies(spark, copied_table, searched, name):
+    con = duckdb.connect()
+    con.execute(f"create view lineitem as select * from '{copied_table}/lineitem.parquet'")
+    most = con.sql("select count(distinct (l_quantity, l_extendedprice, l_discount, l_tax)) from lineitem").fetchone()[0]
+    got, want = catalogue.QUERIES[name](spark, copied_table), con.sql(catalogue.SQL[name])
+    cols = sorted(want.columns)
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(want.project(", ".join(cols)).fetchall())
+    assert searched and max(searched) <= most
