@@ -78,7 +78,7 @@ def copied_table(tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["knn_topk", "nn_spacing_quantiles", "statistical_outliers"])
+@pytest.mark.parametrize("name", ["knn_topk", "nn_spacing_quantiles", "statistical_outliers", "dbscan_cores"])
 def test_queries_on_copies(spark, copied_table, searched, name):
     con = duckdb.connect()
     con.execute(f"create view lineitem as select * from '{copied_table}/lineitem.parquet'")
