@@ -100,14 +100,15 @@ def axial_components(normals: DataFrame, angle_deg: float, key: str) -> DataFram
     return u.join(named, list(_N)).select(key, "component")
 
 
-def merge_reason(*, angle_deg: float, offset_m: float, max_rms: float | None = None, centroids: bool = False, suffixes: tuple[str, str] = ("_a", "_b")) -> Column:
+def merge_reason(*, angle_deg: float, offset_m: float, max_rms: float | None = None, centroids: bool = False, suffixes: tuple[str, str] = ("_a", "_b"), normals: tuple[str, str, str] | None = None) -> Column:
     """The first gate that refuses a pair of planes, 'geometry' if only their distance is left to judge.
 
+    normals: columns that are units already, so that many pairs don't each work them out.
     centroids: also hold each plane's centre against the other plane, as within one area; offsets alone mean little far
     from the origin.
     """
     a, b = suffixes
-    na, nb = unit(tuple(F.col(c + a) for c in _N)), unit(tuple(F.col(c + b) for c in _N))
+    na, nb = (tuple(F.col(c + s) for c in normals) if normals else unit(tuple(F.col(c + s) for c in _N)) for s in (a, b))
     s = aligned_sign(na, nb)
     out = F.when(na[0].isNull() | nb[0].isNull() | F.col("plane_d" + a).isNull() | F.col("plane_d" + b).isNull(), "invalid_normal_or_plane")
     out = out.when(axial_angle(na, nb) > angle_deg, "normal_angle").when(F.abs(F.col("plane_d" + a) - s * F.col("plane_d" + b)) > offset_m, "plane_offset")
@@ -146,18 +147,24 @@ def merge_candidates(planes: DataFrame, *, key: str, gap_m: float, angle_deg: fl
 
     neighbours_only: planes of neighbouring tiles, not of the same one.
     """
-    boxes = planes.select(key, *xy_bounds("footprint" in planes.columns))
-    pairs = box_gap_join(boxes, gap_m, key, cell=cell)
-    a, b = (planes.select([F.col(c).alias(c + s) for c in planes.columns]) for s in ("_a", "_b"))
-    j = pairs.join(a, key + "_a").join(b, key + "_b")
-    if neighbours_only:
-        j = j.where((F.abs(F.col("ix_a") - F.col("ix_b")) <= 1) & (F.abs(F.col("iy_a") - F.col("iy_b")) <= 1) & ((F.col("ix_a") != F.col("ix_b")) | (F.col("iy_a") != F.col("iy_b"))))
+    large = [c for c, t in planes.dtypes if t.startswith(("array", "map", "struct"))]
+    units = ("_ux", "_uy", "_uz")
+    boxes = planes.drop(*large).select("*", *[c.alias(n) for c, n in zip(unit(vec()), units)])
+    if "footprint" in large:
+        boxes = boxes.join(planes.select(key, *xy_bounds(True)), key)
+    else:
+        boxes = boxes.select("*", *xy_bounds(False))
+    carry = [c for c in boxes.columns if c not in (key, "x0", "x1", "y0", "y1")]
+    j = box_gap_join(boxes, gap_m, key, cell=cell, carry=carry, beside=("ix", "iy") if neighbours_only else None)
+    if large:
+        for s in ("_a", "_b"):
+            j = j.join(planes.select(F.col(key).alias(key + s), *[F.col(c).alias(c + s) for c in large]), key + s)
     gap = bbox_gap()
     missing = F.col("bbox_min_z_a").isNull() | F.col("bbox_min_z_b").isNull()
-    reason = merge_reason(angle_deg=angle_deg, offset_m=offset_m, max_rms=max_rms, centroids=centroids).when(missing, "missing_bbox")
+    reason = merge_reason(angle_deg=angle_deg, offset_m=offset_m, max_rms=max_rms, centroids=centroids, normals=units).when(missing, "missing_bbox")
     if footprint_gap is not None:
         reason = reason.when(footprint_gap > gap_m, "footprint_gap").when(footprint_gap <= gap_m, "accepted")
-    return j.withColumn("reason", reason.when(gap > gap_m, "bbox_gap").otherwise("accepted"))
+    return j.withColumn("reason", reason.when(gap > gap_m, "bbox_gap").otherwise("accepted")).drop(*[c + s for c in units for s in ("_a", "_b")])
 
 
 def rejection_histogram(pairs: DataFrame) -> DataFrame:

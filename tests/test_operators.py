@@ -88,3 +88,11 @@ def test_features_of_a_plane(spark):
     tri = spark.createDataFrame([(0.0, 0.0, 0.0, 2.0, 0.0, 0.0, 0.0, 2.0, 0.0)], "ax double, ay double, az double, bx double, by double, bz double, cx double, cy double, cz double")
     s = P.triangle_samples(tri, 100)
     assert s.count() == 200 and s.where("x < 0 or y < 0 or x + y > 2.000001").count() == 0
+
+
+def test_merge_candidates_joins_once(spark):
+    from facetry.plans import catalogue
+
+    df = catalogue._merge_pairs(spark, "/root/testdata/sf0.001").select("vec_id_a", "vec_id_b", "reason")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1  # pairs may be many times the rows: they are not joined with them again
