@@ -3,6 +3,7 @@
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from facetry.operators import joins, places, points as P
 from facetry.plans import catalogue
@@ -25,8 +26,8 @@ def searched(monkeypatch):
         seen.append(max(left.count(), right.count()))
         return real(left, right, *args, **named)
 
-    for module in (joins, places, catalogue):
-        monkeypatch.setattr(module, "radius_join", noted)
+    for module in (joins, places, catalogue, P):
+        monkeypatch.setattr(module, "radius_join", noted, raising=False)
     return seen
 
 
@@ -87,3 +88,20 @@ def test_queries_on_copies(spark, copied_table, searched, name):
     cols = [c[0] for c in want.description]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(want.fetchall())
     assert searched and max(searched) <= most
+
+
+def test_scales_of_copies(copies, searched):
+    """At most the 5 nearest rows count; of rows at one distance those with the smaller keys, here on a coarse grid."""
+    ids, p, df = copies
+    p = np.round(p)
+    df = df.select("pid", *[F.rint(c).alias(c) for c in "xyz"])
+    r = {r.pid: r for r in P.multiscale_features(df, [1.0, 1.5], min_neighbors=3, knn_cap=5, key="pid").collect()}
+    wide = {r.pid: r for r in P.local_features(df, 1.5, min_neighbors=3, knn_cap=5, key="pid").collect()}
+    d2 = squares(p)
+    for i, k in enumerate(ids):
+        near = np.lexsort((ids, d2[i]))[:5]
+        near = near[d2[i, near] <= 2.25]
+        assert wide[k].neighbor_count == len(near) and r[k].neighbor_count <= len(near)
+        if len(near) >= 3:
+            assert np.allclose(wide[k].eigenvalues, np.maximum(np.linalg.eigvalsh(np.cov(p[near].T, bias=True)), 0), atol=1e-9)
+    assert searched and max(searched) <= 30
