@@ -105,3 +105,15 @@ def test_scales_of_copies(copies, searched):
         if len(near) >= 3:
             assert np.allclose(wide[k].eigenvalues, np.maximum(np.linalg.eigvalsh(np.cov(p[near].T, bias=True)), 0), atol=1e-9)
     assert searched and max(searched) <= 30
+
+
+def test_features_of_copies(copies, searched):
+    ids, p, df = copies
+    got = {r.pid: r for r in P.local_features(df, 0.8, min_neighbors=4, key="pid").collect()}
+    near = squares(p) <= 0.8 * 0.8
+    assert len(got) == len(ids)
+    for i, k in enumerate(ids):
+        assert got[k].neighbor_count == near[i].sum()
+        if near[i].sum() >= 4:
+            assert np.allclose(got[k].eigenvalues, np.maximum(np.linalg.eigvalsh(np.cov(p[near[i]].T, bias=True)), 0), atol=1e-9)
+    assert searched and max(searched) <= 30
