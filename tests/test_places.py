@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from facetry.operators import joins, places, points as P
+from facetry.operators import clusters, joins, places, points as P
 from facetry.plans import catalogue
 
 
@@ -26,7 +26,7 @@ def searched(monkeypatch):
         seen.append(max(left.count(), right.count()))
         return real(left, right, *args, **named)
 
-    for module in (joins, places, catalogue, P):
+    for module in (joins, places, catalogue, clusters, P):
         monkeypatch.setattr(module, "radius_join", noted, raising=False)
     return seen
 
@@ -117,3 +117,18 @@ def test_features_of_copies(copies, searched):
         if near[i].sum() >= 4:
             assert np.allclose(got[k].eigenvalues, np.maximum(np.linalg.eigvalsh(np.cov(p[near[i]].T, bias=True)), 0), atol=1e-9)
     assert searched and max(searched) <= 30
+
+
+def test_dbscan_of_copies(copies, searched):
+    ids, p, df = copies
+    near = squares(p) <= 0.45 * 0.45
+    core = near.sum(1) >= 8
+    got = {r.pid: r for r in clusters.spatial_dbscan(df, 0.45, 8, key="pid").collect()}
+    assert [got[k].core for k in ids] == core.tolist()
+    reach = np.linalg.matrix_power((near & core & core[:, None]).astype(float), len(p)) > 0
+    for i, k in enumerate(ids):
+        if core[i]:
+            assert got[k].cluster == min(ids[j] for j in np.flatnonzero(reach[i]))
+        else:
+            assert (got[k].cluster is not None) == (near[i] & core).any()
+    assert searched and max(searched) <= 30
