@@ -1,8 +1,9 @@
 """The SimHash near-dedup operator for looser similarity: one document of each group of near copies stays.
 
-At 0.8 Jaccard similarity over runs of five words, 15 % of the bits of two fingerprints differ. No cut of 64 bits finds
-that by the pigeonhole principle without comparing a share of all pairs, so here a document has one wide fingerprint and
-fingerprints of segments of its terms, by which candidates meet. A segment is the terms
+Fingerprints of 64 bits that differ in three at most are found by near_dup's own search, the generalised pigeonhole
+principle. At 0.8 Jaccard similarity over runs of five words, though, 15 % of the bits of two fingerprints differ. No cut
+of 64 bits finds that by the pigeonhole principle without comparing a share of all pairs, so a document also has one wide
+fingerprint, whose first 64 bits are the other, and fingerprints of segments of its terms, by which more candidates meet. A segment is the terms
 whose hash falls into one of 2 ** k classes, with k from the document's length, so a segment has a few terms, whatever
 the length; copies of other lengths meet because each document is cut for two neighbouring k. Of each cut
 `segments` classes are taken, the same ones in every document; a short document, which has fewer, is cut by several
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetry.llm.common import join_spread, text_or_empty, written
-from facetry.llm.near_dup import bit_counts, term_hashes
+from facetry.llm.near_dup import bit_counts, links, term_hashes
 from facetry.operators.graph import connected_components
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -83,7 +84,7 @@ def text_hash(text_col: str):
 
 
 def sketches(docs: DataFrame, *, words: int = 5, lanes: int = 8, segments: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, th (a hash of the text), print (lanes * 8 bytes), keys of every document."""
+    """doc_id, th (a hash of the text), print (lanes * 8 bytes), keys, fp (the print's first 64 bits) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -92,10 +93,10 @@ def sketches(docs: DataFrame, *, words: int = 5, lanes: int = 8, segments: int =
                 terms = np.unique(term_hashes(t, words))
                 prints.append(wide_print(terms, lanes))
                 keys.append(segment_keys(terms, segments))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "th", "print", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array([int.from_bytes(p[:8], "little", signed=True) for p in prints], pa.int64())], ["doc_id", "th", "print", "keys", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(text_col).alias("th"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, th long, print binary, keys array<long>")
+    return rows.mapInArrow(run, "doc_id long, th long, print binary, keys array<long>, fp long")
 
 
 def connect_wide(ids: np.ndarray, prints: np.ndarray, radius: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -157,6 +158,14 @@ def near_copy_links(distinct: DataFrame, radius: int, group_rows: int = 20_000)
     return meets.repartition(count, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
+def fingerprint_links(distinct: DataFrame, radius: int = 3) -> DataFrame:
+    """Edges (a, b) that connect nodes whose 64-bit fingerprints near_dup's search connects. distinct: node, fp."""
+    firsts = written(distinct.groupBy("fp").agg(F.min("node").alias("first")), "fingerprints")
+    a, b = (firsts.select(F.col("fp").alias(c), F.col("first").alias("n" + c)) for c in "ab")
+    near = links(firsts.select("fp"), radius).join(a, "a").join(b, "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
+    return near.unionByName(distinct.join(firsts, "fp").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")))
+
+
 def connect_exact(ids: np.ndarray, terms: list[np.ndarray], similarity: float) -> list[tuple[np.ndarray, np.ndarray]]:
     """Edges of a breadth-first search over sets of terms, none empty, of at least the Jaccard similarity."""
     sizes = np.array([len(t) for t in terms])
@@ -244,8 +253,9 @@ def keep_one(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, lanes:
     radius = round(bits * share + 4 * (bits * share * (1 - share)) ** 0.5)
     found = written(sketches(docs.where(F.col(id_col).isNotNull()), words=words, lanes=lanes, segments=segments, id_col=id_col, text_col=text_col), "sketches")
     first = F.min(F.struct("doc_id", "th")).alias("first")
-    distinct = written(found.groupBy("print").agg(first, F.count(F.lit(1)).alias("n"), F.min_by("keys", F.struct("doc_id", "th")).alias("keys")).select(F.monotonically_increasing_id().alias("node"), "print", "n", F.col("first.doc_id").alias("first_id"), F.col("first.th").alias("th"), "keys"), "distinct")
-    candidates = written(connected_components(near_copy_links(distinct, radius, group_rows), "a", "b").join(distinct.select("node", "first_id", "th"), "node"), "candidates")
+    distinct = written(found.groupBy("print").agg(first, F.count(F.lit(1)).alias("n"), F.min_by("keys", F.struct("doc_id", "th")).alias("keys"), F.min("fp").alias("fp")).select(F.monotonically_increasing_id().alias("node"), "print", "fp", "n", F.col("first.doc_id").alias("first_id"), F.col("first.th").alias("th"), "keys"), "distinct")
+    met = near_copy_links(distinct, radius, group_rows).unionByName(fingerprint_links(distinct))
+    candidates = written(connected_components(met, "a", "b").join(distinct.select("node", "first_id", "th"), "node"), "candidates")
     links = exact_links(docs, candidates, similarity, words=words, group_terms=group_terms, id_col=id_col, text_col=text_col)
     groups = written(connected_components(links, "a", "b").join(distinct.select("node", "first_id"), "node"), "groups")
     kept = groups.groupBy("component").agg(F.min(F.struct("first_id", "node"))["node"].alias("keeper"), F.count(F.lit(1)).alias("m"))

@@ -222,3 +222,12 @@ def test_components_helper(spark):
         a, b = find(a), find(b)
         lead[max(a, b)] = min(a, b)
     assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
+
+
+def test_near_copies_by_fingerprints_alone(spark, monkeypatch):
+    """near_dup's search by itself finds what differs in three bits at most."""
+    rng = random.Random(12)
+    words = [[f"w{rng.randrange(5000)}" for _ in range(800)] for _ in range(6)]
+    texts = [" ".join(w) for w in words] + [" ".join([*w[:-1], "other"]) for w in words]
+    monkeypatch.setattr(near_copies, "near_copy_links", lambda distinct, *_: spark.createDataFrame([], "a long, b long"))
+    assert {r.doc_id for r in near_copies.keep_one(docs(spark, texts, [*range(12)])).collect()} == set(range(6))
