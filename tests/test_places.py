@@ -132,3 +132,27 @@ def test_dbscan_of_copies(copies, searched):
         else:
             assert (got[k].cluster is not None) == (near[i] & core).any()
     assert searched and max(searched) <= 30
+
+
+def test_pairs_of_rows(spark):
+    """Copies, repeated keys, -0.0, rows without a place; lists of at most two keys, cells from narrow to wide."""
+    rng = np.random.default_rng(5)
+    p = np.repeat(np.round(rng.random((40, 3)) * 3 - 1.5, 1) + 0.0, rng.integers(1, 6, 40), axis=0)
+    ids = [f"p{i % 90:02}" for i in rng.permutation(len(p))]
+    rows = [(k, *map(float, r)) for k, r in zip(ids, p)] + [("a", 0.0, 0.0, 0.0), ("b", -0.0, 0.0, -0.0), ("c", None, 0.0, 0.0), ("d", float("nan"), 0.0, 0.0), ("e", float("inf"), 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "pid string, x double, y double, z double").checkpoint()
+    whole = [r for r in rows if r[0] not in "cde"]
+    ids, d2 = [r[0] for r in whole], squares(np.array([r[1:] for r in whole]))
+    want = sorted((ids[i], ids[j], d2[i, j]) for i in range(len(ids)) for j in range(len(ids)) if ids[i] < ids[j] and d2[i, j] <= 0.36)
+    for cell, most in ((None, 512), (0.6, 2), (5.0, 1)):
+        got = sorted((r.pid_a, r.pid_b, r.d2) for r in places.row_pairs(df, 0.6, "pid", cell=cell, most=most).collect())
+        assert got == want
+
+
+def test_pairs_query_on_copies(spark, copied_table, searched):
+    """No join of rows: those of a place travel as one list."""
+    con = duckdb.connect()
+    con.execute(f"create view lineitem as select * from '{copied_table}/lineitem.parquet'")
+    got, want = catalogue.QUERIES["radius_pairs"](spark, copied_table), con.execute(catalogue.SQL["radius_pairs"])
+    assert sorted(map(tuple, got.select(*[c[0] for c in want.description]).collect())) == sorted(want.fetchall())
+    assert not searched
