@@ -167,6 +167,16 @@ def merge_candidates(planes: DataFrame, *, key: str, gap_m: float, angle_deg: fl
     return j.withColumn("reason", reason.when(gap > gap_m, "bbox_gap").otherwise("accepted")).drop(*[c + s for c in units for s in ("_a", "_b")])
 
 
+def tile_planes(planes: DataFrame, *, key: str, max_rms: float) -> DataFrame:
+    """What grouped.TilePlanes needs of plane rows without footprints; planes that have no tile, normal, offset or box are in no pair."""
+    units = ("_ux", "_uy", "_uz")
+    box = [F.col(f"bbox_{m}_{c}").cast("double").alias(f"{c}{i}") for c in "xyz" for i, m in enumerate(("min", "max"))]
+    rough = (F.coalesce("rms_m", F.lit(0.0)) > max_rms).alias("_rough")
+    flat = F.col("bbox_min_z").isNull().alias("_flat")
+    rows = planes.select(key, *[F.col(c).cast("long").alias(c) for c in ("ix", "iy")], *[c.alias(n) for c, n in zip(unit(vec()), units)], F.col("plane_d").cast("double").alias("plane_d"), *box, rough, flat)
+    return rows.where(" and ".join(f"{c} is not null" for c in (key, "ix", "iy", *units, "plane_d", "x0", "x1", "y0", "y1")))
+
+
 def rejection_histogram(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("reason").agg(F.count(F.lit(1)).alias("pairs"))
 
