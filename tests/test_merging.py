@@ -1,10 +1,10 @@
-"""Pairs of planes tile by tile against the box join."""
+"""Pairs of planes tile by tile, and groups without the pairs, against the box join and the rule itself."""
 
 import duckdb
 import numpy as np
 import pytest
 
-from facetry.operators import grouped, sets
+from facetry.operators import graph, grouped, sets
 from facetry.plans import catalogue
 
 GATES = {"angle_deg": 25.0, "offset_m": 0.10, "gap_m": 0.05}
@@ -33,6 +33,11 @@ def test_tiles_against_boxes(spark, keys, most):
     rows = sets.tile_planes(df, key="vec_id", max_rms=0.25)
     got = sorted(map(tuple, grouped.tile_pairs(rows, "vec_id", GATES, most=most).collect()))
     assert got == want and {r for *_, r in got} == set(grouped.TilePlanes.PASSED)
+    edges = sorted({(a, b) for a, b, r in want if r == "accepted"})
+    linked = grouped.complete_linkage(sorted({m for e in edges for m in e}), edges)
+    trees = grouped.tile_pairs(rows, "vec_id", GATES, trees=True, most=most)
+    merged = grouped.merge_planes(rows, graph.connected_components(trees, "vec_id_a", "vec_id_b"), "vec_id", GATES)
+    assert {r.vec_id: r.merged_into for r in merged.collect()} == linked and len(set(linked.values())) < len(linked)
 
 
 def test_no_planes(spark):
@@ -57,3 +62,16 @@ def test_plane_without_end(spark, alike):
     got = catalogue.QUERIES["plane_merge_candidates"](spark, alike)
     rows = sorted(map(tuple, got.select(*[c[0] for c in want.description]).collect()))
     assert rows == sorted(want.fetchall()) and len(rows) == 3600
+
+
+def test_merging_links_no_more_than_planes(spark, alike, monkeypatch):
+    seen, real = [], graph.connected_components
+
+    def noted(edges, *args, **named):
+        seen.append(edges.count())
+        return real(edges, *args, **named)
+
+    monkeypatch.setattr(graph, "connected_components", noted)
+    got = {r.vec_id: r.merged_into for r in catalogue.QUERIES["greedy_merge"](spark, alike).collect()}
+    assert len(got) == 120 and set(np.unique(list(got.values()), return_counts=True)[1]) == {2}
+    assert 0 < seen[0] < 5 * 120
