@@ -156,3 +156,32 @@ def test_pairs_query_on_copies(spark, copied_table, searched):
     got, want = catalogue.QUERIES["radius_pairs"](spark, copied_table), con.execute(catalogue.SQL["radius_pairs"])
     assert sorted(map(tuple, got.select(*[c[0] for c in want.description]).collect())) == sorted(want.fetchall())
     assert not searched
+
+
+@pytest.mark.parametrize("lines,most", [(True, 10**6), (False, 10**6), (True, 1), (False, 1)])
+def test_features_by_blocks(spark, lines, most):
+    """On dense lines and scattered, copies and all, as pairs of rows have them; blocks that are cut, rows without a place."""
+    rng = np.random.default_rng(4)
+    p = np.stack([rng.integers(-3, 9, 900), rng.random(900) * 9 - 2, rng.integers(0, 40, 900) / 10], 1) if lines else rng.random((900, 3)) * [12, 9, 4] - 2
+    p = np.concatenate([p, p[:50], p[:20]]) if most > 1 else np.repeat(p[:300], rng.integers(1, 12, 300), axis=0)
+    ids = [f"p{i}" for i in rng.permutation(len(p))]
+    rows = [(k, *map(float, r)) for k, r in zip(ids, p)]
+    df = spark.createDataFrame([*rows, ("none", None, 0.0, 0.0), ("nan", float("nan"), 0.0, 0.0)], "pid string, x double, y double, z double").checkpoint()
+    near = squares(p) <= 1.0
+    got = {r.pid: r for r in P.ball_features(df, 1.0, min_neighbors=4, key="pid", most=most).collect()}
+    assert len(got) == len(ids)
+    for i, k in enumerate(ids):
+        r = got[k]
+        assert r.neighbor_count == near[i].sum() and r.normal_stable == (r.neighbor_count >= 4)
+        if r.normal_stable:
+            e = np.maximum(np.linalg.eigvalsh(np.cov(p[near[i]].T, bias=True)), 0)
+            assert abs(r.planarity - (e[1] - e[0]) / max(e[2], 1e-15)) < 1e-9 and abs(r.surface_variation - e[0] / max(e.sum(), 1e-15)) < 1e-9
+        else:
+            assert r.planarity is None and r.surface_variation is None
+
+
+def test_features_query_makes_no_pairs(spark, copied_table, searched):
+    """Every point differs, so that places alone would not help."""
+    got = catalogue.QUERIES["pca_features"](spark, copied_table)
+    assert got.count() == duckdb.sql(f"select count(*) from '{copied_table}/lineitem.parquet'").fetchall()[0][0]
+    assert not searched
